@@ -1,0 +1,130 @@
+"""Versioned snapshots of a target table on plain Parquet.
+
+A version is written beside the ones in use and becomes visible with one row in the `commits`
+folder, so readers see the old or the new state and a failed load leaves the old one. A table may
+be split into parts (`part` column); a version then lists one folder per part, and parts that a
+batch does not touch are listed again instead of being rewritten. One writer at a time.
+"""
+
+from __future__ import annotations
+
+import json
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+PART = "part"
+_COMMIT = "version bigint, batch_id bigint, table_schema string, folders map<string,string>"
+# Part name of a table that is not split.
+WHOLE = ""
+
+
+@dataclass(frozen=True)
+class Version:
+    """A published state: the folder of every part."""
+
+    number: int
+    batch_id: int | None
+    schema: T.StructType
+    folders: dict[str, str]
+
+
+def _commits(root: str) -> str:
+    return f"{root.rstrip('/')}/commits"
+
+
+def _data(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/data/version={version}"
+
+
+def current(spark: SparkSession, root: str) -> Version | None:
+    """The last published version, None before the first."""
+    try:
+        commits = spark.read.schema(_COMMIT).json(_commits(root))
+        row = commits.orderBy(F.desc("version")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if row is None:
+        return None
+    schema = T.StructType.fromJson(json.loads(row["table_schema"]))
+    return Version(row["version"], row["batch_id"], schema, row["folders"])
+
+
+def read(
+    spark: SparkSession, root: str, version: Version, parts: set[str] | None = None
+) -> DataFrame:
+    """Rows of a version (of the given parts only), with their `part`."""
+    split = set(version.folders) != {WHOLE}
+    full = T.StructType([*version.schema.fields, T.StructField(PART, T.StringType())])
+    folders = [f for p, f in version.folders.items() if parts is None or p in parts]
+    if not folders:
+        return spark.createDataFrame([], full)
+    reader = spark.read.option("basePath", f"{root.rstrip('/')}/data")
+    if split:
+        rows = reader.schema(full).parquet(*folders)
+        return rows.select(*version.schema.names, PART)
+    rows = reader.schema(version.schema).parquet(*folders)
+    return rows.select(*version.schema.names, F.lit(WHOLE).alias(PART))
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    """The published table; fails when there is none."""
+    version = current(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"no version published under {root}")
+    return read(spark, root, version).drop(PART)
+
+
+def with_part(rows: DataFrame, part_expr: str | None) -> DataFrame:
+    """Add the name of the part a row belongs to.
+
+    Characters unfit for a folder name become `_`. Two values may then share a part, which is
+    harmless: a part only says what is rewritten together.
+    """
+    if part_expr is None:
+        return rows.withColumn(PART, F.lit(WHOLE))
+    text = F.coalesce(F.expr(part_expr).cast("string"), F.lit("null"))
+    name = F.concat(F.lit("p_"), F.regexp_replace(text, "[^A-Za-z0-9_.-]", "_"))
+    return rows.withColumn(PART, name)
+
+
+def publish(
+    rows: DataFrame,
+    root: str,
+    before: Version | None = None,
+    replaced: set[str] | None = None,
+    batch_id: int | None = None,
+    split: bool = False,
+) -> Version:
+    """Write `rows` (with `part`) as the next version.
+
+    `replaced` names the parts that `rows` replaces; other parts of `before` are listed again.
+    None replaces the whole table.
+    """
+    spark = rows.sparkSession
+    number = before.number + 1 if before else 1
+    path = _data(root, number)
+    schema = rows.drop(PART).schema
+    if split:
+        rows.write.mode("overwrite").partitionBy(PART).parquet(path)
+        folders = {}
+        if replaced is not None and before:
+            folders = {p: f for p, f in before.folders.items() if p not in replaced}
+        folders |= {p: f"{path}/{PART}={p}" for p in _written_parts(spark, path, rows.schema)}
+    else:
+        rows.drop(PART).write.mode("overwrite").parquet(path)
+        folders = {WHOLE: path}
+    commit = [(number, batch_id, schema.json(), folders)]
+    spark.createDataFrame(commit, _COMMIT).coalesce(1).write.mode("append").json(_commits(root))
+    return Version(number, batch_id, schema, folders)
+
+
+def _written_parts(spark: SparkSession, path: str, schema: T.StructType) -> list[str]:
+    """Parts in a written folder: a short list by design of the part expression."""
+    written = spark.read.schema(schema).parquet(path)
+    return sorted(r[PART] for r in written.select(PART).distinct().collect())
