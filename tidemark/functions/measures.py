@@ -30,6 +30,12 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.when(whole != 0, part / whole).otherwise(F.lit(0.0)).cast("double")
 
 
+def rounded(col: Column, digits: int) -> Column:
+    """Rounded as a binary double, so that 0.00015 (a little less in binary) gives 0.0001."""
+    scale = F.lit(float(10**digits))
+    return F.round(col * scale) / scale
+
+
 def tags_json(tags: Column) -> Column:
     """Map of tags as JSON with sorted keys, so equal tags give equal texts."""
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(tags))))

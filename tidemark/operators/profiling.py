@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.measures import days_since, ratio
+from tidemark.functions.measures import days_since, ratio, rounded
 from tidemark.operators.clean import TECHNICAL_COLUMNS
 
 # Columns unpivoted together: bounds the size of the generated code on wide tables.
@@ -116,9 +116,9 @@ def column_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.01)
         "null_count",
         "empty_count",
         empty_total.alias("empty_total"),
-        F.round(empty_total / F.col("total_rows") * 100, 2).alias("empty_pct"),
+        rounded(empty_total / F.col("total_rows") * 100, 2).alias("empty_pct"),
         "distinct_count",
-        F.round(F.col("distinct_count") / F.col("total_rows"), 4).alias("distinct_ratio"),
+        rounded(F.col("distinct_count") / F.col("total_rows"), 4).alias("distinct_ratio"),
     )
 
 
