@@ -13,19 +13,27 @@ NULL_TEXT = "None"
 
 def _render_float(col: Column) -> Column:
     """Shortest exact decimal text: plain from 1e-4 up to 1e16, else like `1.5e-07`."""
-    text = col.cast("string")
-    plain = F.rtrim(text.cast("decimal(38,20)").cast("string"), F.lit("0"))
+    size = F.abs(col)
+    usual = ((size >= 1e-3) & (size < 1e7)) | (size == 0)
+    # The other sizes go through a lambda: their code stays out of the generated method, which
+    # would otherwise grow past what the JVM compiles when a table has many such columns.
+    unusual = F.transform(F.array(col), _render_unusual)[0]
+    return F.when(usual, col.cast("string")).otherwise(unusual)
+
+
+def _render_unusual(col: Column) -> Column:
+    """Sizes that Spark writes with an exponent, and the values that are no number."""
+    text, size = col.cast("string"), F.abs(col)
+    plain = F.rtrim(text.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(text, "E", -1).cast("int")
+    exponent = F.substring_index(text, "E", -1).try_cast("int")
     digits = F.when(F.abs(exponent) < 10, F.lpad(F.abs(exponent).cast("string"), 2, "0")).otherwise(
         F.abs(exponent).cast("string")
     )
     scientific = F.concat(mantissa, F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")), digits)
-    size = F.abs(col)
     return (
         F.when(F.isnan(col), F.lit("nan"))
         .when(size == float("inf"), F.when(col > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when(F.instr(text, "E") == 0, text)
         .when(
             (size >= 1e-4) & (size < 1e16),
             F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain),
@@ -34,6 +42,12 @@ def _render_float(col: Column) -> Column:
     )
 
 
+def _render_time(col: Column) -> Column:
+    """`2024-01-31 06:00:00`, with six digits of a second where there is a fraction."""
+    whole = F.unix_micros(col.cast("timestamp")) % 1_000_000 == 0
+    return F.when(whole, col.cast("string")).otherwise(F.rpad(col.cast("string"), 26, "0"))
+
+
 def render(col: Column, data_type: T.DataType) -> Column:
     """Canonical text of a value; NULL stays NULL."""
     if isinstance(data_type, T.StringType):
@@ -43,8 +57,7 @@ def render(col: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.BooleanType):
         return F.when(col, F.lit("True")).when(~col, F.lit("False"))
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        text = col.cast("string")
-        return F.when(F.instr(text, ".") > 0, F.rpad(text, 26, "0")).otherwise(text)
+        return _render_time(col)
     if isinstance(data_type, T.BinaryType):
         return F.hex(col)
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
