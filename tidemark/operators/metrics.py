@@ -42,16 +42,15 @@ def last_gauges(metrics: DataFrame, tie_break: str | None = None) -> DataFrame:
 
 def histogram_summary(metrics: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
     """Count, limits, mean, median and upper percentiles per series."""
-    basics = metrics.groupBy(*SERIES).agg(
-        F.count("metric_value").alias("n"),
-        F.min("metric_value").alias("min"),
-        F.max("metric_value").alias("max"),
-        F.avg("metric_value").alias("mean"),
+    basics = {
+        "n": F.count("metric_value"),
+        "min": F.min("metric_value"),
+        "max": F.max("metric_value"),
+        "mean": F.avg("metric_value"),
+    }
+    return exact_percentiles(
+        metrics, SERIES, "metric_value", SUMMARY_PERCENTILES, max_group, basics
     )
-    shares = exact_percentiles(metrics, SERIES, "metric_value", SUMMARY_PERCENTILES, max_group)
-    right = shares.withColumnsRenamed({s: f"_{s}" for s in SERIES})
-    same = [F.col(s).eqNullSafe(F.col(f"_{s}")) for s in SERIES]
-    return basics.join(right, same, "left").drop(*(f"_{s}" for s in SERIES))
 
 
 def metric_percentile(

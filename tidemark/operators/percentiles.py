@@ -98,13 +98,22 @@ def exact_percentiles(
     value: str,
     percentages: Mapping[str, float],
     max_group: int = MAX_GROUP,
+    others: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per group with a column per percentage (0 to 1); NULL values do not count.
 
-    A group without any value is left out when it is ranked piece by piece.
+    `others` are further aggregates of the groups.
     """
+    others = [c.alias(n) for n, c in (others or {}).items()]
+    names = list(percentages)
     if largest_group(df, keys) <= max_group:
-        return df.groupBy(*keys).agg(
-            *(F.percentile(F.col(value).cast("double"), p).alias(n) for n, p in percentages.items())
-        )
-    return _ranked(df, keys, value, percentages)
+        # One call for all shares: they then work on one buffer.
+        shares = F.percentile(F.col(value).cast("double"), list(percentages.values()))
+        found = df.groupBy(*keys).agg(shares.alias("_shares"), *others)
+        picked = [F.col("_shares")[i].alias(n) for i, n in enumerate(names)]
+        return found.select(*keys, *(n for n in found.columns if n not in [*keys, "_shares"]), *picked)
+    ranked = _ranked(df, keys, value, percentages)
+    groups = df.groupBy(*keys).agg(*others) if others else df.select(*keys).distinct()
+    same = _same("g", "r", keys)
+    right = groups.alias("g").join(ranked.alias("r"), same, "left")
+    return right.select("g.*", *(f"r.{n}" for n in names))

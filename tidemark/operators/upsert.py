@@ -8,12 +8,14 @@ outer join instead. Both give the same rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest number of batch keys that is broadcast (a key and a hash: some 100 bytes a row).
+# Most batch keys that are broadcast, and their most bytes (each key comes with a 40-byte hash).
 BROADCAST_KEYS = 1_000_000
+BROADCAST_BYTES = 64 * 2**20
 
 
 class KeyViolation(ValueError):
@@ -45,18 +47,30 @@ def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def require_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Fail when a key is missing or repeated."""
-    missing = {r["column_name"]: r["null_rows"] for r in null_keys(df, keys).collect()}
-    if any(missing.values()):
-        raise KeyViolation(f"rows without a key value: {missing}")
-    repeated = duplicate_keys(df, keys).agg(F.count(F.lit(1)), F.sum("cnt")).first()
-    if repeated[0]:
-        raise KeyViolation(f"{repeated[0]} keys occur more than once ({repeated[1]} rows)")
-
-
-def fits_broadcast(batch: DataFrame, keys: Sequence[str], limit: int = BROADCAST_KEYS) -> bool:
-    """True when the batch has at most `limit` rows; stops counting beyond that."""
-    return batch.select(*keys).limit(limit + 1).count() <= limit
+    """Fail when a key is missing or repeated; one pass over the key columns."""
+    missing = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
+    found = counts.agg(
+        F.sum(F.when(missing, F.col("cnt"))).alias("without"),
+        F.count_if(F.col("cnt") > 1).alias("repeated"),
+        F.sum(F.when(F.col("cnt") > 1, F.col("cnt"))).alias("repeated_rows"),
+    ).first()
+    if found["without"]:
+        raise KeyViolation(f"{found['without']} rows lack a value in their key {tuple(keys)}")
+    if found["repeated"]:
+        raise KeyViolation(
+            f"{found['repeated']} keys occur more than once ({found['repeated_rows']} rows)"
+        )
+
+
+def fits_broadcast(batch: DataFrame, keys: Sequence[str]) -> bool:
+    """True when number and size of the batch keys allow a broadcast; reads only the keys."""
+    size = reduce(
+        lambda a, b: a + b,
+        (F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys),
+    )
+    found = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("bigint")).alias("b")).first()
+    return found["n"] <= BROADCAST_KEYS and (found["b"] or 0) <= BROADCAST_BYTES
 
 
 def _is_changed() -> Column:
@@ -104,7 +118,7 @@ def _with_old_values(changed: DataFrame, target: DataFrame, keys: Sequence[str])
         return changed.select(*target.columns)
     wanted = F.broadcast(changed.select(*keys))
     old = target.select(*keys, *absent).join(wanted, list(keys))
-    return changed.join(F.broadcast(old), list(keys), "left").select(*target.columns)
+    return changed.join(old, list(keys), "left").select(*target.columns)
 
 
 def replace_rows(target: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -45,6 +45,13 @@ class RunLog:
             (self.run_id, self.table, name, status, rows, message, seconds, self.now())
         )
 
+    def finish(self, status: str, rows=None, error=None) -> float:
+        """Log the end of the run; its time less its duration is exactly the start."""
+        total = round(self.elapsed(), 6)
+        self.step("flow_complete", status, rows, error, total)
+        self.steps[-1] = (*self.steps[-1][:-1], self.started + timedelta(seconds=total))
+        return total
+
     def metric(self, name: str, value: float, unit: str) -> None:
         self.metrics.append((name, float(value), unit, f'{{"table":"{self.table}"}}', self.now()))
 
@@ -107,7 +114,7 @@ def publish_batch(
     before = snapshots.current(spark, root)
     if before is None or mode == ex.FULL:
         rows = snapshots.with_part(batch, spec.partition_expr)
-        version = snapshots.publish(rows, root, before, None, batch_id, split)
+        version = snapshots.publish(_by_part(rows, split), root, before, None, batch_id, split)
         return snapshots.read(spark, root, version).count(), version
     target = snapshots.read(spark, root, before)
     plain = target.drop(snapshots.PART)
@@ -119,13 +126,21 @@ def publish_batch(
     if n_changed == 0:
         return 0, before
     changed = stage.read_stage(spark, path, spec.name, "changed")
-    small = n_changed <= upsert.BROADCAST_KEYS
+    small = small or upsert.fits_broadcast(changed, keys)
     touched = _touched_parts(changed, target, spec, small) if split else None
     old = snapshots.read(spark, root, before, touched).drop(snapshots.PART)
     rows = snapshots.with_part(upsert.apply_changes(changed, old, keys, small), spec.partition_expr)
+    # A small batch leaves the kept rows where they were read, so a task holds one part only.
+    rows = rows if small else _by_part(rows, split)
     return n_changed, snapshots.publish(rows, root, before, touched, batch_id, split)
 
 
+def _by_part(rows: DataFrame, split: bool) -> DataFrame:
+    """Bring the rows of a part together so that it is written in few files; a part that holds
+    much of the table is spread over several tasks."""
+    return rows.hint("rebalance", F.col(snapshots.PART)) if split else rows
+
+
 def _touched_parts(
     changed: DataFrame, target: DataFrame, spec: TableSpec, small: bool
 ) -> set[str] | None:
@@ -201,18 +216,17 @@ def load_table(
                 advice = profiling.with_advice(profiling.column_profile(batch))
                 excluded = tuple(profiling.excluded_names(advice, spec.primary_key))
         with log.timed("merge_ods") as info:
-            small = n_rows <= upsert.BROADCAST_KEYS
+            small = upsert.fits_broadcast(batch, spec.primary_key)
             n_changed, version = publish_batch(batch, spec, target_root, small, mode)
             info["rows"] = n_changed
-        total = log.elapsed()
+        total = log.finish("success", n_rows)
         log.metric("total_duration", total, "histogram")
         log.metric("throughput", n_rows / total if total else 0, "gauge")
         log.metric("etl_success", 1, "count")
-        log.step("flow_complete", "success", n_rows, None, total)
         return LoadResult(log.run_id, n_rows, n_changed, version.number, excluded)
     except Exception as error:
         log.metric("etl_failed", 1, "count")
-        log.step("flow_complete", "failed", None, str(error), log.elapsed())
+        log.finish("failed", None, str(error))
         raise
     finally:
         log.save(spark, log_root)

@@ -65,9 +65,9 @@ def upsert_stream(
         rows = batch.select(*(F.expr(c.expression).alias(c.sql_name) for c in included(columns)))
         moment = datetime.now(timezone.utc).replace(tzinfo=None)
         ready = upsert.latest_per_key(prepare(rows, spec, columns, moment), keys, ["ts_source"])
-        n = stage.write_stage(ready, f"{root}/stage", spec.name, stage.STAGING)
+        stage.write_stage(ready, f"{root}/stage", spec.name, stage.STAGING)
         staged = stage.read_stage(spark, f"{root}/stage", spec.name, stage.STAGING)
-        small = n <= upsert.BROADCAST_KEYS
+        small = upsert.fits_broadcast(staged, keys)
         if before:
             staged = drop_outdated(staged, snapshots.read(spark, target_root, before), keys, small)
         publish_batch(staged, spec, target_root, small, batch_id=batch_id)
