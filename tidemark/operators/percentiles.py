@@ -113,7 +113,8 @@ def exact_percentiles(
         picked = [F.col("_shares")[i].alias(n) for i, n in enumerate(names)]
         return found.select(*keys, *(n for n in found.columns if n not in [*keys, "_shares"]), *picked)
     ranked = _ranked(df, keys, value, percentages)
+    # Put together by a grouping, which takes NULL keys as equal and needs no join.
     groups = df.groupBy(*keys).agg(*others) if others else df.select(*keys).distinct()
-    same = _same("g", "r", keys)
-    right = groups.alias("g").join(ranked.alias("r"), same, "left")
-    return right.select("g.*", *(f"r.{n}" for n in names))
+    both = groups.unionByName(ranked, allowMissingColumns=True)
+    values = [c for c in both.columns if c not in keys]
+    return both.groupBy(*keys).agg(*(F.any_value(c, True).alias(c) for c in values))
