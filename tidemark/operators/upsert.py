@@ -1,8 +1,8 @@
 """Change detection by row hash and the upsert built on it.
 
 The target may be far larger than the batch. When the batch is known to be small its keys are
-broadcast, so the target is filtered in place and never shuffled. A large batch takes one full
-outer join instead. Both give the same rows.
+broadcast, so the target is filtered in place and never shuffled. A large batch takes joins on the
+key instead. Both give the same rows.
 """
 
 from __future__ import annotations
@@ -98,38 +98,52 @@ def classify(
 
 
 def changed_rows(
-    source: DataFrame, target: DataFrame, keys: Sequence[str], small: bool | None = None
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    small: bool | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Batch rows that are new or differ from the target."""
+    """Batch rows that are new or differ from the target, by one join on key and hash.
+
+    `carry` names target columns to add as `was_...` (NULL for a new row).
+    """
     small = fits_broadcast(source, keys) if small is None else small
-    new = source.select(*keys, F.col("hashdiff").alias("new_hash"))
-    old = target.select(*keys, F.col("hashdiff").alias("old_hash"))
+    was = [F.col(c).alias(f"was_{c}") for c in carry]
+    old = target.select(*keys, F.col("hashdiff").alias("old_hash"), *was)
     if small:
-        same = old.join(F.broadcast(new), list(keys)).filter(~_is_changed()).select(*keys)
-        return source.join(F.broadcast(same), list(keys), "left_anti").select(*source.columns)
-    same = new.join(old, list(keys)).filter(~_is_changed()).select(*keys)
-    return source.join(same, list(keys), "left_anti").select(*source.columns)
+        # Only what the batch mentions is kept of the target, so this side stays small too.
+        old = old.join(F.broadcast(source.select(*keys)), list(keys))
+    both = source.join(F.broadcast(old) if small else old, list(keys), "left")
+    changed = both.filter(F.col("old_hash").isNull() | (F.col("old_hash") != F.col("hashdiff")))
+    return changed.select(*source.columns, *(f"was_{c}" for c in carry))
 
 
-def _with_old_values(changed: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Give a small set of changed rows the old values of the columns the batch does not load."""
+def _with_old_values(changed: DataFrame, target: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """Give changed rows the old values of the columns the batch does not load."""
     absent = [c for c in target.columns if c not in changed.columns]
     if not absent:
         return changed.select(*target.columns)
-    wanted = F.broadcast(changed.select(*keys))
-    old = target.select(*keys, *absent).join(wanted, list(keys))
+    old = target.select(*keys, *absent)
+    if small:
+        old = old.join(F.broadcast(changed.select(*keys)), list(keys))
     return changed.join(old, list(keys), "left").select(*target.columns)
 
 
-def replace_rows(target: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target without the keys of `changed`, plus the rows of `changed` (known to be small)."""
-    gone = F.broadcast(changed.select(*keys))
-    kept = target.join(gone, list(keys), "left_anti").select(*target.columns)
-    return kept.unionByName(_with_old_values(changed, target, keys))
+def replace_rows(
+    target: DataFrame, changed: DataFrame, keys: Sequence[str], small: bool
+) -> DataFrame:
+    """Target without the keys of `changed`, plus the rows of `changed`.
+
+    Of `changed` only the keys are moved; when they are few the target is not moved either.
+    """
+    gone = changed.select(*keys)
+    kept = target.join(F.broadcast(gone) if small else gone, list(keys), "left_anti")
+    return kept.select(*target.columns).unionByName(_with_old_values(changed, target, keys, small))
 
 
 def _merge_all(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The upsert as one full outer join; a row is taken from one side as a whole."""
+    """The upsert in one pass over either side: a full outer join that takes a row from one side."""
     loaded = [c for c in target.columns if c in source.columns]
     old = target.select(*keys, F.struct(*target.columns).alias("old"))
     new = source.select(*keys, F.struct(*loaded).alias("new"))
@@ -145,13 +159,6 @@ def _merge_all(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return old.join(new, list(keys), "full_outer").select(*(pick(c) for c in target.columns))
 
 
-def apply_changes(
-    changed: DataFrame, target: DataFrame, keys: Sequence[str], small: bool
-) -> DataFrame:
-    """Target with rows known to be new or different put in."""
-    return (replace_rows if small else _merge_all)(target, changed, keys)
-
-
 def upsert(
     source: DataFrame, target: DataFrame, keys: Sequence[str], small: bool | None = None
 ) -> DataFrame:
@@ -160,7 +167,7 @@ def upsert(
     its value."""
     small = fits_broadcast(source, keys) if small is None else small
     if small:
-        return replace_rows(target, changed_rows(source, target, keys, True), keys)
+        return replace_rows(target, changed_rows(source, target, keys, True), keys, True)
     return _merge_all(target, source, keys)
 
 

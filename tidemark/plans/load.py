@@ -19,6 +19,9 @@ from tidemark.sources import logs, snapshots, stage
 from tidemark.spec import ColumnSpec, TableSpec, included
 
 
+_WAS_PART = f"was_{snapshots.PART}"
+
+
 @dataclass
 class RunLog:
     """Rows a run writes about itself, kept until they are appended."""
@@ -117,46 +120,40 @@ def publish_batch(
         version = snapshots.publish(_by_part(rows, split), root, before, None, batch_id, split)
         return snapshots.read(spark, root, version).count(), version
     target = snapshots.read(spark, root, before)
-    plain = target.drop(snapshots.PART)
-    loaded = clean.in_target_order(batch, plain.columns)
+    loaded = clean.in_target_order(batch, before.schema.names)
+    found = upsert.changed_rows(loaded, target, keys, small, carry=[snapshots.PART])
     path = f"{root.rstrip('/')}/changes"
-    n_changed = stage.write_stage(
-        upsert.changed_rows(loaded, plain, keys, small), path, spec.name, "changed"
-    )
+    n_changed = stage.write_stage(found, path, spec.name, "changed")
     if n_changed == 0:
         return 0, before
     changed = stage.read_stage(spark, path, spec.name, "changed")
     small = small or upsert.fits_broadcast(changed, keys)
-    touched = _touched_parts(changed, target, spec, small) if split else None
+    touched = _touched_parts(changed, spec) if split else None
     old = snapshots.read(spark, root, before, touched).drop(snapshots.PART)
-    rows = snapshots.with_part(upsert.apply_changes(changed, old, keys, small), spec.partition_expr)
+    merged = upsert.replace_rows(old, changed.drop(_WAS_PART), keys, small)
+    rows = snapshots.with_part(merged, spec.partition_expr)
     # A small batch leaves the kept rows where they were read, so a task holds one part only.
     rows = rows if small else _by_part(rows, split)
     return n_changed, snapshots.publish(rows, root, before, touched, batch_id, split)
 
 
-def _by_part(rows: DataFrame, split: bool) -> DataFrame:
-    """Bring the rows of a part together so that it is written in few files; a part that holds
-    much of the table is spread over several tasks."""
-    return rows.hint("rebalance", F.col(snapshots.PART)) if split else rows
-
-
-def _touched_parts(
-    changed: DataFrame, target: DataFrame, spec: TableSpec, small: bool
-) -> set[str] | None:
+def _touched_parts(changed: DataFrame, spec: TableSpec) -> set[str] | None:
     """Parts that hold a changed row now or get one: a row may move to another part.
 
     None (all parts) when the batch lacks a column the part depends on.
     """
-    keys = list(spec.primary_key)
     try:
         becomes = snapshots.with_part(changed, spec.partition_expr).select(snapshots.PART)
     except AnalysisException:
         return None
-    wanted = changed.select(*keys)
-    was = target.select(*keys, snapshots.PART).join(F.broadcast(wanted) if small else wanted, keys)
-    parts = was.select(snapshots.PART).unionByName(becomes).distinct()
-    return {r[0] for r in parts.collect()}
+    was = changed.filter(F.col(_WAS_PART).isNotNull()).select(F.col(_WAS_PART).alias(snapshots.PART))
+    return {r[0] for r in was.unionByName(becomes).distinct().collect()}
+
+
+def _by_part(rows: DataFrame, split: bool) -> DataFrame:
+    """Bring the rows of a part together so that it is written in few files; a part that holds
+    much of the table is spread over several tasks."""
+    return rows.hint("rebalance", F.col(snapshots.PART)) if split else rows
 
 
 def load_table(
