@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import time
-import uuid
-from collections.abc import Callable, Mapping, Sequence
-from contextlib import contextmanager
-from dataclasses import dataclass, field, replace
-from datetime import datetime, timedelta
-
-from pyspark.errors import AnalysisException
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
+from datetime import datetime
+
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import clean, profiling, quality, upsert
+from tidemark.operators import clean, quality, upsert
+from tidemark.plans.profile import profile_table
+from tidemark.plans.run import RunLog
 from tidemark.sources import extract as ex
 from tidemark.sources import logs, snapshots, stage
 from tidemark.spec import ColumnSpec, TableSpec, included
@@ -22,58 +21,6 @@ from tidemark.spec import ColumnSpec, TableSpec, included
 _WAS_PART = f"was_{snapshots.PART}"
 
 
-@dataclass
-class RunLog:
-    """Rows a run writes about itself, kept until they are appended."""
-
-    table: str
-    started: datetime
-    run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
-    steps: list[tuple] = field(default_factory=list)
-    metrics: list[tuple] = field(default_factory=list)
-    clock: Callable[[], float] = time.monotonic
-
-    def __post_init__(self):
-        self._zero = self.clock()
-
-    def elapsed(self) -> float:
-        return self.clock() - self._zero
-
-    def now(self) -> datetime:
-        return self.started + timedelta(seconds=self.elapsed())
-
-    def step(self, name: str, status: str, rows=None, error=None, seconds=None) -> None:
-        message = error[: logs.MESSAGE_LENGTH] if error else None
-        self.steps.append(
-            (self.run_id, self.table, name, status, rows, message, seconds, self.now())
-        )
-
-    def finish(self, status: str, rows=None, error=None) -> float:
-        """Log the end of the run; its time less its duration is exactly the start."""
-        total = round(self.elapsed(), 6)
-        self.step("flow_complete", status, rows, error, total)
-        self.steps[-1] = (*self.steps[-1][:-1], self.started + timedelta(seconds=total))
-        return total
-
-    def metric(self, name: str, value: float, unit: str) -> None:
-        self.metrics.append((name, float(value), unit, f'{{"table":"{self.table}"}}', self.now()))
-
-    @contextmanager
-    def timed(self, name: str):
-        """Log a step with its duration; the body may set `rows` in the yielded dict."""
-        begin, info = self.clock(), {}
-        yield info
-        seconds = self.clock() - begin
-        self.metric(f"{name}_duration", seconds, "histogram")
-        self.step(name, "success", info.get("rows"), None, seconds)
-
-    def save(self, spark: SparkSession, root: str) -> None:
-        logs.append_rows(spark, root, logs.RUN_LOG, logs.RUN_LOG_SCHEMA, self.steps)
-        if self.metrics:
-            rows = spark.createDataFrame(self.metrics, logs.METRICS_SCHEMA)
-            logs.append_metrics(rows.coalesce(1), root)
-
-
 @dataclass(frozen=True)
 class LoadResult:
     run_id: str
@@ -173,7 +120,8 @@ def load_table(
 
     `mode` decides whether the target is emptied first; a table without change timestamps is read
     in full but still upserted when `mode` is incremental. A failed critical check stops the load
-    before the target is touched. Columns a profile rules out are returned for the next load.
+    before the target is touched. With `profile` the batch is profiled when that is due; the
+    columns it rules out are returned for the next load.
     """
     spark = source.sparkSession
     log_root, target_root = f"{root}/logs", f"{root}/tables/{spec.name}"
@@ -207,11 +155,7 @@ def load_table(
                     raise quality.DataQualityError(
                         f"critical checks failed: {', '.join(sorted(failures))}"
                     )
-        excluded: tuple[str, ...] = ()
-        if profile and n_rows:
-            with log.timed("profiling"):
-                advice = profiling.with_advice(profiling.column_profile(batch))
-                excluded = tuple(profiling.excluded_names(advice, spec.primary_key))
+        excluded = _profiled(batch, spec, root, load_ts) if profile else ()
         with log.timed("merge_ods") as info:
             small = upsert.fits_broadcast(batch, spec.primary_key)
             n_changed, version = publish_batch(batch, spec, target_root, small, mode)
@@ -229,6 +173,17 @@ def load_table(
         log.save(spark, log_root)
 
 
+def _profiled(
+    batch: DataFrame, spec: TableSpec, root: str, as_of: datetime
+) -> tuple[str, ...]:
+    """Columns ruled out by a profile of the batch. A profile that fails does not stop the load:
+    it is found in the run log."""
+    try:
+        return profile_table(batch, spec.name, root, as_of, spec.primary_key).excluded
+    except PySparkException:
+        return ()
+
+
 def exclude(columns: Sequence[ColumnSpec], names: Sequence[str]) -> list[ColumnSpec]:
     """Column list for the next load without the columns a profile ruled out."""
     return [replace(c, excluded=c.excluded or c.sql_name in names) for c in columns]
