@@ -241,6 +241,46 @@ def sample_mismatches(df: DataFrame, column: str, pattern: str, n: int = 5) -> D
     )
 
 
+def failure_samples(df: DataFrame, rules: Mapping, failed: Iterable[str]) -> DataFrame | None:
+    """Samples of the failed uniqueness and pattern rules, as `check_name` and a JSON text.
+
+    At most ten rows a rule, all rules in one job; None when no such rule failed.
+    """
+    wanted, parts = set(failed), []
+    for keys in rules.get("unique", ()):
+        parts.append(("unique_" + "_".join(keys), sample_duplicates(df, keys).drop("cnt")))
+    for column, pattern in rules.get("patterns", {}).items():
+        parts.append((f"pattern_{column}", sample_mismatches(df, column, pattern)))
+    samples = [
+        part.select(
+            F.lit(name).alias("check_name"),
+            F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("sample"),
+        )
+        for name, part in parts
+        if name in wanted
+    ]
+    return reduce(DataFrame.unionByName, samples) if samples else None
+
+
+def run_with_samples(df: DataFrame, rules: Mapping) -> DataFrame:
+    """`run_all_checks`, with samples in the details of what failed.
+
+    The second pass over the data is made only when a rule has failed. The result rows (one per
+    rule) are held by the driver.
+    """
+    results = run_all_checks(df, rules)
+    rows = [r.asDict() for r in results.collect()]
+    samples = failure_samples(df, rules, [r["check_name"] for r in rows if not r["passed"]])
+    found: dict[str, list] = {}
+    for sample in samples.collect() if samples is not None else ():
+        found.setdefault(sample["check_name"], []).append(json.loads(sample["sample"]))
+    for row in rows:
+        if row["check_name"] in found:
+            details = json.loads(row["details"]) | {"samples": found[row["check_name"]]}
+            row["details"] = json.dumps(details, ensure_ascii=False)
+    return df.sparkSession.createDataFrame(rows, results.schema)
+
+
 # --- rule sets ------------------------------------------------------------------------------
 
 

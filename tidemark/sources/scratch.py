@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +22,12 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{_SETTING} must name a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(_SETTING, root)
-    return root
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

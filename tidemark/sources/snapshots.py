@@ -111,7 +111,9 @@ def publish(
     path = _data(root, number)
     schema = rows.drop(PART).schema
     if split:
-        rows.write.mode("overwrite").partitionBy(PART).parquet(path)
+        # Static, so that nothing stays of an attempt that failed before its commit.
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(PART).parquet(path)
         folders = {}
         if replaced is not None and before:
             folders = {p: f for p, f in before.folders.items() if p not in replaced}
