@@ -1,33 +1,44 @@
 """Intermediate tables in the folder shared by the cluster.
 
-A written table cuts the lineage and survives the loss of an executor. The folder comes from
-`spark.checkpoint.dir`; a local run without that setting gets a folder of its own.
+A written table cuts the lineage and survives the loss of an executor. The folder is the one that
+`spark.checkpoint.dir` names; a session without that setting names its own in `tidemark.scratch.dir`
+(see `use_local_scratch` for tests and single-machine runs). There is no silent fallback.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SETTING = "spark.checkpoint.dir"
+_SETTINGS = ("spark.checkpoint.dir", "tidemark.scratch.dir")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables."""
-    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{_SETTING} must name a folder that all executors share")
-    return _local_root()
+def _configured(spark: SparkSession) -> str | None:
+    for name in _SETTINGS:
+        root = spark.conf.get(name, None) or spark.sparkContext.getConf().get(name)
+        if root:
+            return root.rstrip("/")
+    return None
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+def scratch_root(spark: SparkSession) -> str:
+    """Shared folder for intermediate tables."""
+    root = _configured(spark)
+    if root is None:
+        raise RuntimeError(f"{_SETTINGS[0]} must name a folder that all executors share")
+    return root
+
+
+def use_local_scratch(spark: SparkSession) -> SparkSession:
+    """Give a session on one machine a folder of its own, unless a folder is set already."""
+    if _configured(spark) is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"{_SETTINGS[0]} must name a folder that all executors share")
+        spark.conf.set(_SETTINGS[1], tempfile.mkdtemp(prefix="tidemark-"))
+    return spark
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
