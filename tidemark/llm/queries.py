@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import exact_groups, full_hash
+from tidemark.llm.language import identify
 from tidemark.llm.mixing import mixed
+from tidemark.llm.simhash import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +48,20 @@ def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return near_groups(table(spark, sf, "documents")).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("first.doc_id").alias("component_id"),
+    )
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return identify(table(spark, sf, "documents"))
+
+
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS key,
