@@ -9,7 +9,7 @@ import pyarrow as pa
 #: Bytes of text that are taken apart at a time; a longer text comes alone.
 PIECE = 2 << 20
 #: Entries of a cache; a full one starts anew, which changes the time and nothing else.
-CACHE = 300_000
+CACHE = 500_000
 #: Words longer than this are worked out each time.
 CACHED_LENGTH = 64
 

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import exact_groups, full_hash
 from tidemark.llm.language import identify
 from tidemark.llm.mixing import mixed
+from tidemark.llm.packing import packed
 from tidemark.llm.simhash import near_groups
+from tidemark.llm.token_counts import token_counts
+from tidemark.llm.token_files import read_tokens, token_index, write_tokens
+from tidemark.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +123,22 @@ def op5_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixed(table(spark, sf, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    write_tokens(table(spark, sf, "documents"), path, tokenizer, end_id=2)
+    return token_index(read_tokens(spark, path))
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts(table(spark, sf, "documents"), model)
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packed(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
