@@ -12,9 +12,12 @@ from tidemark.llm.exact_dedup import exact_groups, full_hash
 from tidemark.llm.language import identify
 from tidemark.llm.mixing import mixed
 from tidemark.llm.packing import packed
+from tidemark.llm.quality import judged as quality_judged
+from tidemark.llm.secrets import report as secret_report
 from tidemark.llm.simhash import near_groups
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.token_files import read_tokens, token_index, write_tokens
+from tidemark.llm.url_rules import judged as urls_judged
 from tidemark.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +70,11 @@ def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identify(table(spark, sf, "documents"))
 
 
+@query("op4_url_filters")
+def op4_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    return urls_judged(table(spark, sf, "pages"), table(spark, sf, "labels"))
+
+
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS key,
@@ -125,6 +133,21 @@ def op5_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_judged(table(spark, sf, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "log_perplexity",
+    )
+
+
 @query("op7_token_files")
 def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
@@ -139,6 +162,11 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(table(spark, sf, "documents"), model)
 
 
+@query("op9_secrets")
+def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_report(table(spark, sf, "documents"))
+
+
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
