@@ -62,11 +62,40 @@ def slo_compliance(spark, sf):
     return _rounded(rl.slo_compliance(run_log(spark, sf), AS_OF), "actual", "error_budget_remaining")
 
 
-# The same figures with the percentile ranked piece by piece, as for a log of any size.
-@query("slo_compliance_large", _SLO_SQL)
-def slo_compliance_large(spark, sf):
-    result = rl.slo_compliance(run_log(spark, sf), AS_OF, max_group=0)
-    return _rounded(result, "actual", "error_budget_remaining")
+# Customers as the registry of tables: most never ran, the even ones have no timestamps.
+_REGISTERED = """(SELECT 'table_' || c_custkey AS table_name, c_custkey % 2 = 1 AS has_timestamps
+                  FROM customer WHERE c_nationkey < 20)"""
+
+
+def _registered(spark, sf):
+    customers = table(spark, sf, "customer").filter("c_nationkey < 20")
+    return customers.select(
+        F.concat(F.lit("table_"), F.col("c_custkey").cast("string")).alias("table_name"),
+        (F.col("c_custkey") % 2 == 1).alias("has_timestamps"),
+    )
+
+
+@query(
+    "sla_status_registered",
+    f"""SELECT r.table_name, s.last_success_ts, s.hours_since_success,
+               coalesce(s.sla_status, 'CRITICAL') AS sla_status
+        FROM {_REGISTERED} r LEFT JOIN ({_SLA_SQL}) s ON s.table_name = r.table_name""",
+)
+def sla_status_registered(spark, sf):
+    return rl.sla_status(run_log(spark, sf), AS_OF, _registered(spark, sf))
+
+
+@query(
+    "freshness_registered",
+    f"""SELECT CASE WHEN count(*) FILTER (s.hours_since_success IS NULL) > 0 THEN 'Infinity'::DOUBLE
+                    ELSE max(s.hours_since_success) END AS actual,
+               count(*) FILTER (coalesce(s.hours_since_success, 25) > 24) = 0 AS compliant
+        FROM {_REGISTERED} r LEFT JOIN ({_SLA_SQL}) s ON s.table_name = r.table_name
+        WHERE r.has_timestamps""",
+)
+def freshness_registered(spark, sf):
+    found = rl.slo_compliance(run_log(spark, sf), AS_OF, registry=_registered(spark, sf))
+    return found.filter("objective = 'data_freshness'").select("actual", "compliant")
 
 
 @query(
@@ -78,6 +107,15 @@ def recent_failures(spark, sf):
     return rl.recent_failures(run_log(spark, sf), AS_OF, text=7)
 
 
+@query(
+    "recent_failures_whole",
+    f"""SELECT run_id, table_name, log_ts, error_message
+        FROM {_LOG} WHERE status = 'failed' AND {_RECENT}""",
+)
+def recent_failures_whole(spark, sf):
+    return rl.recent_failures(run_log(spark, sf), AS_OF)
+
+
 @query(
     "alert_candidates",
     f"""SELECT table_name, 'sla_breach' AS alert_type, lower(sla_status) AS severity,
@@ -162,6 +200,20 @@ def run_report(spark, sf):
     return _rounded(rl.run_report(_results(spark, sf)), "avg_duration")
 
 
+@query(
+    "run_totals",
+    f"""SELECT x.priority, count(*) AS n_tables,
+               count(*) FILTER (status = 'success') AS success_count,
+               count(*) FILTER (status = 'failed') AS fail_count,
+               round(sum(duration_seconds), 2) AS total_duration
+        FROM (SELECT unnest([r.priority, 'all']) AS priority, status, duration_seconds
+              FROM ({_RESULTS_SQL}) r) x GROUP BY x.priority""",
+)
+def run_totals(spark, sf):
+    totals = rl.run_totals(_results(spark, sf))
+    return totals.withColumn("total_duration", F.round("total_duration", 2))
+
+
 @query(
     "slowest_top5",
     f"SELECT * FROM {_LOG} ORDER BY duration_seconds DESC, run_id LIMIT 5",
@@ -240,28 +292,32 @@ def metrics_histogram(spark, sf):
     return _rounded(summary, "mean", "median", "p95", "p99")
 
 
-@query("metrics_histogram_large", _histogram_sql(_METRICS))
-def metrics_histogram_large(spark, sf):
-    summary = met.histogram_summary(metrics(spark, sf), max_group=0)
-    return _rounded(summary, "mean", "median", "p95", "p99")
+# Views without a value stand for infinity; some quantiles fall among them.
+_INFINITE_SQL = f"""(SELECT * REPLACE (CASE WHEN metric_name = 'view' AND metric_value > 100
+                       THEN 'Infinity'::DOUBLE ELSE metric_value END AS metric_value) FROM {_METRICS}) i"""
 
 
-# Quantities as one untagged series: a group of all rows with many equal values.
 @query(
-    "metrics_percentile",
-    "SELECT round(quantile_cont(l_extendedprice, 0.95), 6) AS percentile_value FROM lineitem",
+    "percentile_infinite",
+    f"""SELECT metric_name, tags, max(metric_value) AS max,
+               round(quantile_cont(metric_value, 0.5), 6) AS median,
+               round(quantile_cont(metric_value, 0.99), 6) AS p99
+        FROM {_INFINITE_SQL} GROUP BY metric_name, tags""",
 )
-def metrics_percentile(spark, sf):
-    return _rounded(met.metric_percentile(_prices(spark, sf), "price", 95), "percentile_value")
+def percentile_infinite(spark, sf):
+    infinite = (F.col("metric_name") == "view") & (F.col("metric_value") > 100)
+    value = F.when(infinite, float("inf")).otherwise(F.col("metric_value"))
+    summary = met.histogram_summary(metrics(spark, sf).withColumn("metric_value", value))
+    return _rounded(summary.select("metric_name", "tags", "max", "median", "p99"), "median", "p99")
 
 
+# Quantities as one untagged series: a group of all rows with many equal values.
 @query(
-    "metrics_percentile_large",
+    "metrics_percentile",
     "SELECT round(quantile_cont(l_extendedprice, 0.95), 6) AS percentile_value FROM lineitem",
 )
-def metrics_percentile_large(spark, sf):
-    found = met.metric_percentile(_prices(spark, sf), "price", 95, max_group=0)
-    return _rounded(found, "percentile_value")
+def metrics_percentile(spark, sf):
+    return _rounded(met.metric_percentile(_prices(spark, sf), "price", 95), "percentile_value")
 
 
 def _prices(spark, sf):

@@ -177,11 +177,23 @@ query(
 
 @query(
     "varchar_truncate",
-    """SELECT doc_id, substr(text, 1, 500) AS text FROM documents""",
+    """SELECT doc_id, substr(text, 1, 1200) AS text FROM documents""",
 )
 def varchar_truncate(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "text")
-    columns = [ColumnSpec("doc_id", "bigint"), ColumnSpec("text", "varchar", 32_000)]
+    columns = [ColumnSpec("doc_id", "bigint"), ColumnSpec("text", "varchar", 1200)]
+    return typed_select(rows, columns)
+
+
+# Without a declared width (or with a type of its own) no text is cut, however long.
+@query("text_whole", "SELECT doc_id, text, text AS raw_text FROM documents")
+def text_whole(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", "text", F.col("text").alias("raw_text"))
+    columns = [
+        ColumnSpec("doc_id", "bigint"),
+        ColumnSpec("text", "varchar"),
+        ColumnSpec("raw_text", "raw"),
+    ]
     return typed_select(rows, columns)
 
 

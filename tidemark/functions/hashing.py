@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.measures import wall_time
+
 NULL_TEXT = "None"
 
 
@@ -42,10 +44,13 @@ def _render_unusual(col: Column) -> Column:
     )
 
 
-def _render_time(col: Column) -> Column:
-    """`2024-01-31 06:00:00`, with six digits of a second where there is a fraction."""
-    whole = F.unix_micros(col.cast("timestamp")) % 1_000_000 == 0
-    return F.when(whole, col.cast("string")).otherwise(F.rpad(col.cast("string"), 26, "0"))
+def _render_time(col: Column, data_type: T.DataType) -> Column:
+    """`2024-01-31 06:00:00`, with six digits of a second where there is a fraction.
+
+    A moment with zone is written in UTC, whatever the zone of the session.
+    """
+    text = (wall_time(col) if isinstance(data_type, T.TimestampType) else col).cast("string")
+    return F.when(F.instr(text, ".") == 0, text).otherwise(F.rpad(text, 26, "0"))
 
 
 def render(col: Column, data_type: T.DataType) -> Column:
@@ -57,7 +62,7 @@ def render(col: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.BooleanType):
         return F.when(col, F.lit("True")).when(~col, F.lit("False"))
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return _render_time(col)
+        return _render_time(col, data_type)
     if isinstance(data_type, T.BinaryType):
         return F.hex(col)
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):

@@ -15,6 +15,22 @@ def at(moment: datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def as_instant(col: Column) -> Column:
+    """Wall time taken as UTC, as a timestamp with zone; the zone of the session plays no part."""
+    span = col.cast("timestamp_ntz") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    minutes = (F.extract(F.lit("DAY"), span) * 24 + F.extract(F.lit("HOUR"), span)) * 60
+    seconds = (minutes + F.extract(F.lit("MINUTE"), span)).cast("bigint") * 60
+    micros = (F.extract(F.lit("SECOND"), span) * 1_000_000).cast("bigint")
+    return F.timestamp_micros(seconds * 1_000_000 + micros)
+
+
+def wall_time(col: Column) -> Column:
+    """A timestamp with zone as wall time in UTC; the zone of the session plays no part."""
+    seconds = F.unix_micros(col).cast("decimal(24,0)") / 1_000_000
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
 def days_since(ts: Column, as_of: datetime) -> Column:
     """Midnights between a timestamp and `as_of`; 999 when there is none."""
     return F.coalesce(F.datediff(at(as_of), ts), F.lit(NEVER_DAYS))

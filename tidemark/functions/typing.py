@@ -18,20 +18,13 @@ TRUE_TOKENS = ("True", "true", "1")
 FALSE_TOKENS = ("False", "false", "0")
 
 # Limits of the declared types.
-MAX_TEXT = 500
-DEFAULT_TEXT = 255
 MAX_PRECISION = 38
 DEFAULT_PRECISION = 18
 
 
 def text_limit(spec: ColumnSpec) -> int | None:
-    """Longest text the declared type holds, None when it is not a text."""
-    kind = spec.data_type.lower()
-    if kind == "varchar":
-        return min(spec.width, MAX_TEXT) if spec.width else DEFAULT_TEXT
-    if kind in ("integer", "bigint", "bit", "numeric", "date", "datetime"):
-        return None
-    return MAX_TEXT
+    """Longest text the declared type holds, None when no width is declared: nothing is cut then."""
+    return spec.width or None if spec.data_type.lower() == "varchar" else None
 
 
 def spark_type(spec: ColumnSpec) -> T.DataType:
@@ -97,7 +90,8 @@ def coerce(
     target = spark_type(spec)
     if isinstance(target, T.StringType):
         text = null_tokens_to_null(col.cast("string"), empty_is_null=False)
-        return clip(text, text_limit(spec))
+        limit = text_limit(spec)
+        return text if limit is None else clip(text, limit)
     if isinstance(target, (T.DateType, T.TimestampNTZType)):
         return to_datetime(col, target.simpleString(), formats)
     missing = _is_missing(col, data_type)

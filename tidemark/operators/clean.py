@@ -81,17 +81,19 @@ def typed_select(
     return df.select(*out, *(c for c in TECHNICAL_COLUMNS if c in df.columns))
 
 
+def reject_counts(df: DataFrame, columns: Sequence[ColumnSpec]) -> list[Column]:
+    """Per declared column an aggregate that counts the present values that do not fit its type."""
+    return [
+        F.count_if(is_bad(F.col(f"`{c.sql_name}`"), df.schema[c.sql_name].dataType, c)).alias(c.sql_name)
+        for c in columns
+        if c.sql_name in df.columns
+    ]
+
+
 def bad_values(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     """Per column the number of present values that do not fit their type, in one scan."""
     known = [c for c in columns if c.sql_name in df.columns]
-    counts = df.agg(
-        *(
-            F.count_if(is_bad(F.col(f"`{c.sql_name}`"), df.schema[c.sql_name].dataType, c)).alias(
-                c.sql_name
-            )
-            for c in known
-        )
-    )
+    counts = df.agg(*reject_counts(df, known))
     return counts.unpivot([], [f"`{c.sql_name}`" for c in known], "column_name", "bad_rows")
 
 

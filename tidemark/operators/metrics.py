@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.measures import tags_json
-from tidemark.operators.percentiles import MAX_GROUP, exact_percentiles
+from tidemark.operators.percentiles import exact_percentiles
 
 SERIES = ["metric_name", "tags"]
 # The shares a histogram is summarised by.
@@ -40,7 +40,7 @@ def last_gauges(metrics: DataFrame, tie_break: str | None = None) -> DataFrame:
     )
 
 
-def histogram_summary(metrics: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
+def histogram_summary(metrics: DataFrame) -> DataFrame:
     """Count, limits, mean, median and upper percentiles per series."""
     basics = {
         "n": F.count("metric_value"),
@@ -48,19 +48,15 @@ def histogram_summary(metrics: DataFrame, max_group: int = MAX_GROUP) -> DataFra
         "max": F.max("metric_value"),
         "mean": F.avg("metric_value"),
     }
-    return exact_percentiles(
-        metrics, SERIES, "metric_value", SUMMARY_PERCENTILES, max_group, basics
-    )
+    return exact_percentiles(metrics, SERIES, "metric_value", SUMMARY_PERCENTILES, basics)
 
 
-def metric_percentile(
-    metrics: DataFrame, name: str, percentile: float, max_group: int = MAX_GROUP
-) -> DataFrame:
+def metric_percentile(metrics: DataFrame, name: str, percentile: float) -> DataFrame:
     """One percentile (0 to 100) of the untagged series of a metric, one row; NULL without data."""
     series = metrics.filter(
         (F.col("metric_name") == name) & (F.col("tags").isNull() | (F.col("tags") == "{}"))
     )
-    found = exact_percentiles(series, ["metric_name"], "metric_value", {"value": percentile / 100}, max_group)
+    found = exact_percentiles(series, ["metric_name"], "metric_value", {"value": percentile / 100})
     return found.agg(F.max("value").alias("percentile_value"))
 
 

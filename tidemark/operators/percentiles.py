@@ -1,8 +1,8 @@
 """Exact percentiles with linear interpolation, for groups of any size.
 
-Spark's `percentile` keeps all distinct values of a group in the memory of one task. That is the
-quickest way while groups are small, so it is used when the largest group is known to be. Beyond
-that the values are range-partitioned and ranked piece by piece.
+Spark's `percentile` keeps all distinct values of a group in the memory of one task. Here values are
+counted first, range-partitioned and ranked piece by piece, so a group may hold any number of rows.
+There is one way at every size, so a series never changes its figures by growing.
 """
 
 from __future__ import annotations
@@ -15,16 +15,6 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.scratch import materialize
 
-# Largest group (in rows) whose values one task may hold.
-MAX_GROUP = 500_000
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def _same(left: str, right: str, columns: Sequence[str]) -> Column:
     return reduce(
         lambda a, b: a & b,
@@ -83,8 +73,10 @@ def _ranked(
         ]
 
     def between(i: int, p: float) -> Column:
+        # Equal ranks and equal values are taken as they are: infinities stay what they are.
+        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         step = position(p) - F.floor(position(p))
-        return F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * step
+        return F.when((step == 0) | (low == high), low).otherwise(low + (high - low) * step)
 
     return placed.groupBy(*keys).agg(*picked).select(
         *keys,
@@ -97,7 +89,6 @@ def exact_percentiles(
     keys: Sequence[str],
     value: str,
     percentages: Mapping[str, float],
-    max_group: int = MAX_GROUP,
     others: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per group with a column per percentage (0 to 1); NULL values do not count.
@@ -105,13 +96,6 @@ def exact_percentiles(
     `others` are further aggregates of the groups.
     """
     others = [c.alias(n) for n, c in (others or {}).items()]
-    names = list(percentages)
-    if largest_group(df, keys) <= max_group:
-        # One call for all shares: they then work on one buffer.
-        shares = F.percentile(F.col(value).cast("double"), list(percentages.values()))
-        found = df.groupBy(*keys).agg(shares.alias("_shares"), *others)
-        picked = [F.col("_shares")[i].alias(n) for i, n in enumerate(names)]
-        return found.select(*keys, *(n for n in found.columns if n not in [*keys, "_shares"]), *picked)
     ranked = _ranked(df, keys, value, percentages)
     # Put together by a grouping, which takes NULL keys as equal and needs no join.
     groups = df.groupBy(*keys).agg(*others) if others else df.select(*keys).distinct()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.measures import at, hours_since, ratio
 from tidemark.functions.text import clip
-from tidemark.operators.percentiles import MAX_GROUP, exact_percentiles
+from tidemark.operators.percentiles import exact_percentiles
 from tidemark.operators.upsert import latest_per_key
 
 COMPLETE = "flow_complete"
@@ -56,35 +56,62 @@ def _mentions(notes: str, words: tuple[str, ...]) -> Column:
     return found
 
 
-def select_tables(registry: DataFrame, subset: str = "all", notes: str = "notes") -> DataFrame:
-    """Registry rows of all tables, the dimensions, the facts or those noted as important."""
+def select_tables(
+    registry: DataFrame, subset: str = "all", notes: str = "notes", name: str | None = None
+) -> DataFrame:
+    """Registry rows of all tables, the dimensions, the facts or those noted as important; in the
+    order of `name`, the column that names the table, where given."""
     conditions = {
         "all": F.lit(True),
         "dimensions": F.col("is_dimension") == 1,
         "facts": F.col("is_fact") == 1,
         "priority": _mentions(notes, PRIORITY_WORDS),
     }
-    return registry.filter(conditions[subset])
+    chosen = registry.filter(conditions[subset])
+    return chosen.orderBy(name) if name else chosen
 
 
-def with_priority(registry: DataFrame, notes: str = "notes") -> DataFrame:
-    """Class of a table: critical by its notes, high for dimensions and facts, else normal."""
+def with_priority(
+    registry: DataFrame, notes: str = "notes", name: str | None = None
+) -> DataFrame:
+    """Class of a table: critical by its notes, high for dimensions and facts, else normal; in the
+    order of class and `name` where given."""
     priority = (
         F.when(_mentions(notes, CRITICAL_WORDS), F.lit("critical"))
         .when((F.col("is_dimension") == 1) | (F.col("is_fact") == 1), F.lit("high"))
         .otherwise(F.lit("normal"))
     )
-    return registry.withColumn("priority", priority)
+    classed = registry.withColumn("priority", priority)
+    if name is None:
+        return classed
+    place = F.array_position(F.array(*map(F.lit, ("critical", "high", "normal"))), F.col("priority"))
+    return classed.orderBy(place, name)
 
 
 # --- service levels -------------------------------------------------------------------------
 
 
-def sla_status(log: DataFrame, as_of: datetime) -> DataFrame:
-    """Hours since the last success of every table, and what they mean."""
-    last = log.filter(F.col("step_name") == COMPLETE).groupBy("table_name").agg(
-        F.max(F.when(_succeeded(), F.col("log_ts"))).alias("last_success_ts")
+def last_successes(log: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """Last success of every table of the registry (`table_name`), without one of every table of
+    the log; NULL where there is none."""
+    done = log.filter(F.col("step_name") == COMPLETE).select(
+        "table_name", F.when(_succeeded(), F.col("log_ts")).alias("success_ts")
     )
+    if registry is not None:
+        never = F.lit(None).cast("timestamp_ntz").alias("success_ts")
+        listed = registry.select("table_name")
+        done = listed.select("table_name", never).unionByName(
+            done.join(listed.distinct(), "table_name", "left_semi")
+        )
+    return done.groupBy("table_name").agg(F.max("success_ts").alias("last_success_ts"))
+
+
+def sla_status(
+    log: DataFrame, as_of: datetime, registry: DataFrame | None = None
+) -> DataFrame:
+    """Hours since the last success of every table, and what they mean. With a registry a table
+    that never ran is listed too, as critical."""
+    last = last_successes(log, registry)
     hours = hours_since(F.col("last_success_ts"), as_of)
     status = (
         F.when(hours.isNull() | (hours > CRITICAL_HOURS), F.lit("CRITICAL"))
@@ -97,11 +124,13 @@ def sla_status(log: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def slo_compliance(
-    log: DataFrame, as_of: datetime, days: int = 7, max_group: int = MAX_GROUP
+    log: DataFrame, as_of: datetime, days: int = 7, registry: DataFrame | None = None
 ) -> DataFrame:
     """One row per objective: target, actual, whether it is met, and the error budget left.
 
-    Without any run availability counts as met and nothing as failed.
+    Without any run availability counts as met and nothing as failed. With a registry (`table_name`,
+    `has_timestamps`) freshness is that of its tables with timestamps, and a table that never ran
+    is infinitely old.
     """
     recent = _completed_since(log, as_of, timedelta(days=days))
     runs = recent.agg(
@@ -111,11 +140,13 @@ def slo_compliance(
     ).unpivot([], ["n", "ok", "bad"], "figure", "v")
     successes = recent.filter(_succeeded()).withColumn("series", F.lit("all"))
     latency = exact_percentiles(
-        successes, ["series"], "duration_seconds", {"v": 0.95}, max_group
+        successes, ["series"], "duration_seconds", {"v": 0.95}
     ).select(F.lit("latency").alias("figure"), "v")
-    freshness = sla_status(log, as_of).agg(
-        F.max("hours_since_success").cast("double").alias("v")
-    ).select(F.lit("freshness").alias("figure"), "v")
+    timed = None if registry is None else registry.filter("has_timestamps")
+    age = F.col("hours_since_success").cast("double")
+    if registry is not None:
+        age = F.coalesce(age, F.lit(float("inf")))
+    freshness = sla_status(log, as_of, timed).agg(F.max(age).alias("v")).select(F.lit("freshness").alias("figure"), "v")
     figures = runs.unionByName(latency).unionByName(freshness)
     one = figures.agg(
         *(
@@ -154,19 +185,24 @@ def slo_compliance(
 # --- what happened lately -------------------------------------------------------------------
 
 
-def recent_failures(log: DataFrame, as_of: datetime, hours: int = 24, text: int = 100) -> DataFrame:
-    """Failed runs, newest first, with the start of their error text."""
+def recent_failures(
+    log: DataFrame, as_of: datetime, hours: int = 24, text: int | None = None
+) -> DataFrame:
+    """Failed runs, newest first; `text` cuts their error texts for a report that asks for it."""
+    message = F.col("error_message") if text is None else clip(F.col("error_message"), text)
     return (
         _completed_since(log, as_of, timedelta(hours=hours))
         .filter(_failed())
-        .select("run_id", "table_name", "log_ts", clip(F.col("error_message"), text).alias("error_message"))
+        .select("run_id", "table_name", "log_ts", message.alias("error_message"))
         .orderBy(F.desc("log_ts"), "run_id")
     )
 
 
-def alert_rows(log: DataFrame, as_of: datetime, many: int = 5) -> DataFrame:
+def alert_rows(
+    log: DataFrame, as_of: datetime, many: int = 5, registry: DataFrame | None = None
+) -> DataFrame:
     """Rows for the alert table: one per late table, one when more than `many` runs failed."""
-    late = sla_status(log, as_of).filter("sla_status <> 'OK'")
+    late = sla_status(log, as_of, registry).filter("sla_status <> 'OK'")
     hours = F.coalesce(F.col("hours_since_success").cast("string"), F.lit("no"))
     breaches = late.select(
         "table_name",
@@ -247,6 +283,17 @@ def run_report(results: DataFrame) -> DataFrame:
     )
 
 
+def run_totals(results: DataFrame) -> DataFrame:
+    """Tables, successes, failures and seconds per priority, and over all (priority `all`)."""
+    both = F.explode(F.array("priority", F.lit("all"))).alias("priority")
+    return results.select(both, "status", "duration_seconds").groupBy("priority").agg(
+        F.count(F.lit(1)).alias("n_tables"),
+        F.count_if(_succeeded()).alias("success_count"),
+        F.count_if(_failed()).alias("fail_count"),
+        F.sum("duration_seconds").alias("total_duration"),
+    )
+
+
 def slowest_runs(results: DataFrame, n: int = 5, tie_break: str = "run_id") -> DataFrame:
     """The `n` longest finished runs."""
     finished = results.filter(F.col("duration_seconds").isNotNull())

@@ -1,8 +1,8 @@
 """Change detection by row hash and the upsert built on it.
 
-The target may be far larger than the batch. When the batch is known to be small its keys are
-broadcast, so the target is filtered in place and never shuffled. A large batch takes joins on the
-key instead. Both give the same rows.
+A key of the batch is new when the target lacks it, and changed when both hashes are known and
+differ; a target row without a hash counts as unchanged. There is one join for every size: whether
+a side is broadcast is left to Spark, which knows the sizes when the job runs.
 """
 
 from __future__ import annotations
@@ -12,11 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-# Most batch keys that are broadcast, and their most bytes (each key comes with a 40-byte hash).
-BROADCAST_KEYS = 1_000_000
-BROADCAST_BYTES = 64 * 2**20
-
+from pyspark.sql import types as T
 
 class KeyViolation(ValueError):
     """The batch has missing or repeated keys."""
@@ -26,15 +22,37 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     """One row per key: the one highest in `order`, then in the other columns.
 
     An aggregate, not a window: versions of a key are reduced before the shuffle, so a key that
-    holds a large share of the rows never lands in one task as a whole.
+    holds a large share of the rows never lands in one task as a whole. Columns that have no order
+    (maps, variants) come last and are settled by their JSON text.
     """
+    if not order:
+        raise ValueError("the latest row needs columns that give an order")
     rest = [c for c in df.columns if c not in keys and c not in order]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("best"))
+    unordered = [c for c in rest if _has_no_order(df.schema[c].dataType)]
+    if unordered:
+        ranked = F.struct(
+            *order,
+            *(c for c in rest if c not in unordered),
+            *(F.to_json(F.struct(c)).alias(f"as_json_{c}") for c in unordered),
+        )
+        best = df.groupBy(*keys).agg(
+            F.max_by(F.struct(*order, *rest), ranked).alias("best")
+        )
+    else:
+        best = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("best"))
     return best.select(
         *(F.col(c) if c in keys else F.col(f"best.`{c}`").alias(c) for c in df.columns)
     )
 
 
+def _has_no_order(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return any(_has_no_order(f.dataType) for f in data_type)
+    if isinstance(data_type, T.ArrayType):
+        return _has_no_order(data_type.elementType)
+    return isinstance(data_type, (T.MapType, T.VariantType))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row counts."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1")
@@ -63,93 +81,59 @@ def require_keys(df: DataFrame, keys: Sequence[str]) -> None:
         )
 
 
-def fits_broadcast(batch: DataFrame, keys: Sequence[str]) -> bool:
-    """True when number and size of the batch keys allow a broadcast; reads only the keys."""
-    size = reduce(
-        lambda a, b: a + b,
-        (F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys),
+def _beside_old(source: DataFrame, target: DataFrame, keys: Sequence[str], carry=()) -> DataFrame:
+    """Batch rows with `known` (the target has the key) and the old hash."""
+    was = [F.col(c).alias(f"was_{c}") for c in carry]
+    old = target.select(
+        *keys, F.col("hashdiff").alias("old_hash"), F.lit(True).alias("known"), *was
     )
-    found = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("bigint")).alias("b")).first()
-    return found["n"] <= BROADCAST_KEYS and (found["b"] or 0) <= BROADCAST_BYTES
+    return source.join(old, list(keys), "left")
 
 
-def _is_changed() -> Column:
-    return F.col("old_hash") != F.col("new_hash")
+def _changed(new_hash: Column) -> Column:
+    return F.coalesce(F.col("old_hash") != new_hash, F.lit(False))
 
 
-def classify(
-    source: DataFrame, target: DataFrame, keys: Sequence[str], small: bool | None = None
-) -> DataFrame:
+def classify(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key and `change_type` (insert, update or unchanged) of every batch row.
 
     Reads only key and hash of either side.
     """
-    small = fits_broadcast(source, keys) if small is None else small
-    new = source.select(*keys, F.col("hashdiff").alias("new_hash"))
-    old = target.select(*keys, F.col("hashdiff").alias("old_hash"))
-    kind = F.when(_is_changed(), F.lit("update")).otherwise(F.lit("unchanged"))
-    if not small:
-        both = new.join(old.withColumn("known", F.lit(True)), list(keys), "left")
-        kind = F.when(F.col("known").isNull(), F.lit("insert")).otherwise(kind)
-        return both.select(*keys, kind.alias("change_type"))
-    matched = old.join(F.broadcast(new), list(keys)).select(*keys, kind.alias("change_type"))
-    inserts = new.join(F.broadcast(matched.select(*keys)), list(keys), "left_anti")
-    return matched.unionByName(inserts.select(*keys, F.lit("insert").alias("change_type")))
+    both = _beside_old(source.select(*keys, "hashdiff"), target, keys)
+    kind = (
+        F.when(F.col("known").isNull(), F.lit("insert"))
+        .when(_changed(F.col("hashdiff")), F.lit("update"))
+        .otherwise(F.lit("unchanged"))
+    )
+    return both.select(*keys, kind.alias("change_type"))
 
 
 def changed_rows(
-    source: DataFrame,
-    target: DataFrame,
-    keys: Sequence[str],
-    small: bool | None = None,
-    carry: Sequence[str] = (),
+    source: DataFrame, target: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()
 ) -> DataFrame:
     """Batch rows that are new or differ from the target, by one join on key and hash.
 
     `carry` names target columns to add as `was_...` (NULL for a new row).
     """
-    small = fits_broadcast(source, keys) if small is None else small
-    was = [F.col(c).alias(f"was_{c}") for c in carry]
-    old = target.select(*keys, F.col("hashdiff").alias("old_hash"), *was)
-    if small:
-        # Only what the batch mentions is kept of the target, so this side stays small too.
-        old = old.join(F.broadcast(source.select(*keys)), list(keys))
-    both = source.join(F.broadcast(old) if small else old, list(keys), "left")
-    changed = both.filter(F.col("old_hash").isNull() | (F.col("old_hash") != F.col("hashdiff")))
+    both = _beside_old(source, target, keys, carry)
+    changed = both.filter(F.col("known").isNull() | _changed(F.col("hashdiff")))
     return changed.select(*source.columns, *(f"was_{c}" for c in carry))
 
 
-def _with_old_values(changed: DataFrame, target: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """Give changed rows the old values of the columns the batch does not load."""
-    absent = [c for c in target.columns if c not in changed.columns]
-    if not absent:
-        return changed.select(*target.columns)
-    old = target.select(*keys, *absent)
-    if small:
-        old = old.join(F.broadcast(changed.select(*keys)), list(keys))
-    return changed.join(old, list(keys), "left").select(*target.columns)
+def replace_rows(target: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target without the keys of `changed`, plus the rows of `changed`; columns these lack keep
+    their old values. One full outer join that takes each row from one side."""
+    return _merge_all(target, changed, keys, F.lit(True))
 
 
-def replace_rows(
-    target: DataFrame, changed: DataFrame, keys: Sequence[str], small: bool
+def _merge_all(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], differs: Column
 ) -> DataFrame:
-    """Target without the keys of `changed`, plus the rows of `changed`.
-
-    Of `changed` only the keys are moved; when they are few the target is not moved either.
-    """
-    gone = changed.select(*keys)
-    kept = target.join(F.broadcast(gone) if small else gone, list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(_with_old_values(changed, target, keys, small))
-
-
-def _merge_all(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The upsert in one pass over either side: a full outer join that takes a row from one side."""
+    """One pass over either side; rows of both sides come from the source where they differ."""
     loaded = [c for c in target.columns if c in source.columns]
     old = target.select(*keys, F.struct(*target.columns).alias("old"))
     new = source.select(*keys, F.struct(*loaded).alias("new"))
-    take_new = F.col("new").isNotNull() & (
-        F.col("old").isNull() | (F.col("old.hashdiff") != F.col("new.hashdiff"))
-    )
+    take_new = F.col("new").isNotNull() & (F.col("old").isNull() | differs)
 
     def pick(name: str) -> Column:
         before = F.col(f"old.`{name}`")
@@ -159,16 +143,12 @@ def _merge_all(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return old.join(new, list(keys), "full_outer").select(*(pick(c) for c in target.columns))
 
 
-def upsert(
-    source: DataFrame, target: DataFrame, keys: Sequence[str], small: bool | None = None
-) -> DataFrame:
+def upsert(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target after the batch: new keys added, rows with another hash replaced, all others (also
     those the batch does not mention) kept as they are. A column the batch does not load keeps
-    its value."""
-    small = fits_broadcast(source, keys) if small is None else small
-    if small:
-        return replace_rows(target, changed_rows(source, target, keys, True), keys, True)
-    return _merge_all(target, source, keys)
+    its value. Keys of the batch must be unique; `require_keys` checks that."""
+    differs = F.coalesce(F.col("old.hashdiff") != F.col("new.hashdiff"), F.lit(False))
+    return _merge_all(target, source, keys, differs)
 
 
 def change_counts(changes: DataFrame) -> DataFrame:

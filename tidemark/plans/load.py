@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import clean, quality, upsert
+from tidemark.operators import clean, quality, runlog, upsert
 from tidemark.plans.profile import profile_table
 from tidemark.plans.run import RunLog
 from tidemark.sources import extract as ex
@@ -30,19 +31,26 @@ class LoadResult:
     excluded: tuple[str, ...] = ()
 
 
+class RejectedValues(ValueError):
+    """Values of the batch do not fit their declared types."""
+
+
 def prepare(
     rows: DataFrame,
     spec: TableSpec,
     columns: Sequence[ColumnSpec],
     load_ts: datetime,
     strict: bool = False,
+    rejected: Observation | None = None,
 ) -> DataFrame:
     """Extracted rows made ready to load: stripped, hashed, stamped and typed.
 
     The hash covers the stripped values before typing, so a value cut to its length still counts
-    as changed.
+    as changed. `rejected` counts, on the way, the values that do not fit, by column.
     """
     stamped = clean.add_technical_columns(clean.normalize(rows), spec, load_ts)
+    if rejected is not None:
+        stamped = stamped.observe(rejected, *clean.reject_counts(stamped, included(columns)))
     return clean.typed_select(stamped, included(columns), strict)
 
 
@@ -50,9 +58,8 @@ def publish_batch(
     batch: DataFrame,
     spec: TableSpec,
     root: str,
-    small: bool,
     mode: str = ex.INCREMENTAL,
-    batch_id: int | None = None,
+    source_batch: tuple[str, int] | None = None,
 ) -> tuple[int, snapshots.Version]:
     """Bring a batch (unique keys, already written to a stage) into the published table.
 
@@ -60,47 +67,59 @@ def publish_batch(
     """
     spark = batch.sparkSession
     keys = list(spec.primary_key)
-    split = spec.partition_expr is not None
     before = snapshots.current(spark, root)
     if before is None or mode == ex.FULL:
-        rows = snapshots.with_part(batch, spec.partition_expr)
-        version = snapshots.publish(_by_part(rows, split), root, before, None, batch_id, split)
-        return snapshots.read(spark, root, version).count(), version
+        seen = Observation()
+        rows = snapshots.with_part(batch, spec.part_expr)
+        counted = _by_part(rows).observe(seen, F.count(F.lit(1)).alias("n"))
+        version = snapshots.publish(counted, root, before, None, source_batch, True)
+        return seen.get["n"], version
     target = snapshots.read(spark, root, before)
     loaded = clean.in_target_order(batch, before.schema.names)
-    found = upsert.changed_rows(loaded, target, keys, small, carry=[snapshots.PART])
+    found = upsert.changed_rows(loaded, target, keys, carry=[snapshots.PART])
     path = f"{root.rstrip('/')}/changes"
     n_changed = stage.write_stage(found, path, spec.name, "changed")
     if n_changed == 0:
         return 0, before
     changed = stage.read_stage(spark, path, spec.name, "changed")
-    small = small or upsert.fits_broadcast(changed, keys)
-    touched = _touched_parts(changed, spec) if split else None
+    touched = _touched_parts(changed, spec, before.schema.names)
     old = snapshots.read(spark, root, before, touched).drop(snapshots.PART)
-    merged = upsert.replace_rows(old, changed.drop(_WAS_PART), keys, small)
-    rows = snapshots.with_part(merged, spec.partition_expr)
-    # A small batch leaves the kept rows where they were read, so a task holds one part only.
-    rows = rows if small else _by_part(rows, split)
-    return n_changed, snapshots.publish(rows, root, before, touched, batch_id, split)
+    merged = upsert.replace_rows(old, changed.drop(_WAS_PART), keys)
+    rows = _by_part(snapshots.with_part(merged, spec.part_expr))
+    return n_changed, snapshots.publish(rows, root, before, touched, source_batch, True)
 
 
-def _touched_parts(changed: DataFrame, spec: TableSpec) -> set[str] | None:
+def _touched_parts(
+    changed: DataFrame, spec: TableSpec, target_columns: Sequence[str]
+) -> set[str] | None:
     """Parts that hold a changed row now or get one: a row may move to another part.
 
-    None (all parts) when the batch lacks a column the part depends on.
+    None (all parts) when the batch lacks a column that the part expression names.
     """
-    try:
-        becomes = snapshots.with_part(changed, spec.partition_expr).select(snapshots.PART)
-    except AnalysisException:
+    named = [c for c in target_columns if re.search(rf"(?<!\w){re.escape(c)}(?!\w)", spec.part_expr)]
+    if any(c not in changed.columns for c in named):
         return None
+    becomes = snapshots.with_part(changed, spec.part_expr).select(snapshots.PART)
     was = changed.filter(F.col(_WAS_PART).isNotNull()).select(F.col(_WAS_PART).alias(snapshots.PART))
-    return {r[0] for r in was.unionByName(becomes).distinct().collect()}
+    return snapshots.part_names(was.unionByName(becomes))
 
 
-def _by_part(rows: DataFrame, split: bool) -> DataFrame:
+def _by_part(rows: DataFrame) -> DataFrame:
     """Bring the rows of a part together so that it is written in few files; a part that holds
     much of the table is spread over several tasks."""
-    return rows.hint("rebalance", F.col(snapshots.PART)) if split else rows
+    return rows.hint("rebalance", F.col(snapshots.PART))
+
+
+def resumed(spark: SparkSession, spec: TableSpec, log_root: str) -> TableSpec:
+    """The table with the start of its last successful load, from the run log of the job."""
+    try:
+        log = logs.read_log(spark, log_root, logs.RUN_LOG)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spec
+    own = runlog.watermarks(log.filter(F.col("table_name") == spec.name)).first()
+    return spec.with_last_success(own["last_success_ts"]) if own else spec
 
 
 def load_table(
@@ -112,30 +131,37 @@ def load_table(
     mode: str = ex.INCREMENTAL,
     rules: Mapping | None = None,
     on_duplicate: str = "error",
-    strict: bool = False,
+    strict: bool = True,
     keep_raw: bool = False,
     profile: bool = False,
+    resume: bool = False,
 ) -> LoadResult:
     """Load one table into `root` and append what happened to the logs under it.
 
     `mode` decides whether the target is emptied first; a table without change timestamps is read
     in full but still upserted when `mode` is incremental. A failed critical check stops the load
-    before the target is touched. With `profile` the batch is profiled when that is due; the
-    columns it rules out are returned for the next load.
+    before the target is touched, and so does a value that is no valid number or bit, unless
+    `strict` is off: it then becomes NULL. Either way such values are counted per column (dates too)
+    and logged. With `resume` the table is read from its last success in the run log on. With
+    `profile` the batch is profiled when that is due; the columns it rules out are returned for the
+    next load.
     """
     spark = source.sparkSession
     log_root, target_root = f"{root}/logs", f"{root}/tables/{spec.name}"
     stage_root = f"{root}/stage"
     log = RunLog(spec.name, load_ts)
     log.step("flow_start", "started")
+    rejected = Observation()
     try:
+        if resume and spec.last_success is None:
+            spec = resumed(spark, spec, log_root)
         with log.timed("extract") as info:
             rows = ex.extract(source, spec, columns, mode)
             if keep_raw:
                 info["rows"] = stage.write_stage(rows, stage_root, spec.name, stage.RAW)
                 rows = stage.read_stage(spark, stage_root, spec.name, stage.RAW)
         with log.timed("transform"):
-            ready = prepare(rows, spec, columns, load_ts, strict)
+            ready = prepare(rows, spec, columns, load_ts, rejected=rejected)
             if on_duplicate == "latest":
                 ready = upsert.latest_per_key(ready, spec.primary_key, ["ts_source"])
         with log.timed("load_staging") as info:
@@ -143,16 +169,16 @@ def load_table(
             info["rows"] = n_rows
         batch = stage.read_stage(spark, stage_root, spec.name, stage.STAGING)
         log.metric("rows_processed", n_rows, "count")
+        _log_rejects(log, rejected.get, columns, strict)
         with log.timed("quality"):
             upsert.require_keys(batch, spec.primary_key)
             if rules:
                 results = quality.run_with_samples(batch, rules)
                 logs.append_quality(results, log_root, spec.name, log.now())
                 quality.gate(results)
-        excluded = _profiled(batch, spec, root, load_ts) if profile else ()
+        excluded = _profiled(batch, spec, root, load_ts, log) if profile else ()
         with log.timed("merge_ods") as info:
-            small = upsert.fits_broadcast(batch, spec.primary_key)
-            n_changed, version = publish_batch(batch, spec, target_root, small, mode)
+            n_changed, version = publish_batch(batch, spec, target_root, mode)
             info["rows"] = n_changed
         total = log.finish("success", n_rows)
         log.metric("total_duration", total, "histogram")
@@ -167,13 +193,28 @@ def load_table(
         log.save(spark, log_root)
 
 
+def _log_rejects(
+    log: RunLog, counts: Mapping[str, int], columns: Sequence[ColumnSpec], strict: bool
+) -> None:
+    """Log how many values of each column do not fit, and stop a strict load."""
+    kinds = {c.sql_name: c.data_type.lower() for c in columns}
+    bad = {name: n for name, n in counts.items() if n}
+    for name, n in bad.items():
+        log.metric("rejected_values", n, "count", column=name)
+    fatal = {c: n for c, n in bad.items() if kinds[c] not in ("date", "datetime")}
+    if strict and fatal:
+        what = ", ".join(f"{c}: {n} not a valid {kinds[c]}" for c, n in sorted(fatal.items()))
+        raise RejectedValues(what)
+
+
 def _profiled(
-    batch: DataFrame, spec: TableSpec, root: str, as_of: datetime
+    batch: DataFrame, spec: TableSpec, root: str, as_of: datetime, log: RunLog
 ) -> tuple[str, ...]:
-    """Columns ruled out by a profile of the batch. A profile that fails does not stop the load:
-    it is found in the run log."""
+    """Columns ruled out by a profile of the batch. A profile that fails does not stop the load; it
+    is a failed step of the run."""
     try:
-        return profile_table(batch, spec.name, root, as_of, spec.primary_key).excluded
+        with log.timed("profile"):
+            return profile_table(batch, spec.name, root, as_of, spec.primary_key).excluded
     except PySparkException:
         return ()
 

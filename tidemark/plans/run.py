@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable
@@ -35,9 +36,8 @@ class RunLog:
         return self.started + timedelta(seconds=self.elapsed())
 
     def step(self, name: str, status: str, rows=None, error=None, seconds=None) -> None:
-        message = error[: logs.MESSAGE_LENGTH] if error else None
         self.steps.append(
-            (self.run_id, self.table, name, status, rows, message, seconds, self.now())
+            (self.run_id, self.table, name, status, rows, error or None, seconds, self.now())
         )
 
     def finish(self, status: str, rows=None, error=None) -> float:
@@ -47,14 +47,24 @@ class RunLog:
         self.steps[-1] = (*self.steps[-1][:-1], self.started + timedelta(seconds=total))
         return total
 
-    def metric(self, name: str, value: float, unit: str) -> None:
-        self.metrics.append((name, float(value), unit, f'{{"table":"{self.table}"}}', self.now()))
+    def metric(self, name: str, value: float, unit: str, **tags: str) -> None:
+        text = json.dumps(
+            {"table": self.table, **tags}, sort_keys=True, separators=(",", ":"), ensure_ascii=False
+        )
+        self.metrics.append((name, float(value), unit, text, self.now()))
 
     @contextmanager
     def timed(self, name: str):
-        """Log a step with its duration; the body may set `rows` in the yielded dict."""
+        """Log a step with its duration; the body may set `rows` in the yielded dict.
+
+        A step that fails is logged as such, and its error goes on to the caller.
+        """
         begin, info = self.clock(), {}
-        yield info
+        try:
+            yield info
+        except Exception as error:
+            self.step(name, "failed", info.get("rows"), str(error), self.clock() - begin)
+            raise
         seconds = self.clock() - begin
         self.metric(f"{name}_duration", seconds, "histogram")
         self.step(name, "success", info.get("rows"), None, seconds)

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.measures import at
-from tidemark.functions.text import clip
 
 RUN_LOG_SCHEMA = (
     "run_id string, table_name string, step_name string, status string, rows_processed bigint, "
@@ -25,9 +24,6 @@ METRICS = "metrics"
 QUALITY_LOG = "quality_log"
 ALERTS = "alerts"
 
-# Fixed value: longest message kept in a log.
-MESSAGE_LENGTH = 500
-
 
 def log_path(root: str, log: str) -> str:
     return f"{root.rstrip('/')}/{log}"
@@ -51,7 +47,7 @@ def append_quality(results: DataFrame, root: str, table: str, check_ts: datetime
         "severity",
         "failed_rows",
         "total_rows",
-        clip(F.col("message"), MESSAGE_LENGTH).alias("message"),
+        "message",
         "details",
         at(check_ts).alias("check_ts"),
     ).write.mode("append").parquet(log_path(root, QUALITY_LOG))

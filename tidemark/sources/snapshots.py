@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PART = "part"
-_COMMIT = "version bigint, batch_id bigint, table_schema string, folders map<string,string>"
+_COMMIT = (
+    "version bigint, batches map<string,bigint>, table_schema string, folders map<string,string>"
+)
+# Most parts of a table: their names are listed in every commit.
+MAX_PARTS = 10_000
 # Part name of a table that is not split.
 WHOLE = ""
 
@@ -27,7 +31,7 @@ class Version:
     """A published state: the folder of every part."""
 
     number: int
-    batch_id: int | None
+    batches: dict[str, int]  # last batch taken of each stream
     schema: T.StructType
     folders: dict[str, str]
 
@@ -52,7 +56,7 @@ def current(spark: SparkSession, root: str) -> Version | None:
     if row is None:
         return None
     schema = T.StructType.fromJson(json.loads(row["table_schema"]))
-    return Version(row["version"], row["batch_id"], schema, row["folders"])
+    return Version(row["version"], row["batches"] or {}, schema, row["folders"])
 
 
 def read(
@@ -98,13 +102,14 @@ def publish(
     root: str,
     before: Version | None = None,
     replaced: set[str] | None = None,
-    batch_id: int | None = None,
+    batch: tuple[str, int] | None = None,
     split: bool = False,
 ) -> Version:
     """Write `rows` (with `part`) as the next version.
 
     `replaced` names the parts that `rows` replaces; other parts of `before` are listed again.
-    None replaces the whole table.
+    None replaces the whole table. `batch` names a stream and its batch; the last batches of other
+    streams are carried on, so that loads and streams may alternate.
     """
     spark = rows.sparkSession
     number = before.number + 1 if before else 1
@@ -121,12 +126,20 @@ def publish(
     else:
         rows.drop(PART).write.mode("overwrite").parquet(path)
         folders = {WHOLE: path}
-    commit = [(number, batch_id, schema.json(), folders)]
+    batches = (before.batches if before else {}) | dict([batch] if batch else [])
+    commit = [(number, batches, schema.json(), folders)]
     spark.createDataFrame(commit, _COMMIT).coalesce(1).write.mode("append").json(_commits(root))
-    return Version(number, batch_id, schema, folders)
+    return Version(number, batches, schema, folders)
 
 
 def _written_parts(spark: SparkSession, path: str, schema: T.StructType) -> list[str]:
-    """Parts in a written folder: a short list by design of the part expression."""
-    written = spark.read.schema(schema).parquet(path)
-    return sorted(r[PART] for r in written.select(PART).distinct().collect())
+    """Parts in a written folder."""
+    return sorted(part_names(spark.read.schema(schema).parquet(path)))
+
+
+def part_names(rows: DataFrame) -> set[str]:
+    """Names of the parts that occur; fails when the part expression has too many values."""
+    found = rows.select(PART).distinct().limit(MAX_PARTS + 1).collect()
+    if len(found) > MAX_PARTS:
+        raise ValueError(f"the part expression gives more than {MAX_PARTS} parts; choose a coarser one")
+    return {r[PART] for r in found}

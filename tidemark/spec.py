@@ -78,6 +78,7 @@ class TableSpec:
     precision: str = "datetime"
     lookback: str | None = None
     partition_expr: str | None = None
+    buckets: int = 8
 
     @classmethod
     def from_row(cls, row: Mapping) -> TableSpec:
@@ -99,6 +100,13 @@ class TableSpec:
             lookback=optional("LookbackInterval"),
         )
 
+    @property
+    def part_expr(self) -> str:
+        """What a row's part follows from: the declared expression, else a bucket of the key. Choose
+        `buckets` so that a bucket is what a load may rewrite for one changed row."""
+        keys = ", ".join(f"`{k}`" for k in self.primary_key)
+        return self.partition_expr or f"pmod(xxhash64({keys}), {self.buckets})"
+
     @property
     def is_incremental(self) -> bool:
         """False when the table has no change timestamp, so it is always read in full."""

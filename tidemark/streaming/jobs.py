@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.measures import as_instant, wall_time
 from tidemark.operators import upsert
 from tidemark.plans.load import prepare, publish_batch
 from tidemark.sources import snapshots, stage
@@ -37,8 +38,13 @@ def read_files(
 
 
 def _event_time(df: DataFrame, column: str) -> DataFrame:
-    """Watermarks need a timestamp with zone; the session zone is UTC."""
-    return df.withColumn(column, F.col(column).cast("timestamp"))
+    """Watermarks need a timestamp with zone: the wall time is taken as UTC in any session."""
+    return df.withColumn(column, as_instant(F.col(column)))
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the checkpoint gives its stream; a new checkpoint has a new one."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
 def upsert_stream(
@@ -52,7 +58,8 @@ def upsert_stream(
 
     A micro-batch may hold several versions of a key; the latest wins, and an older version than
     the published one is dropped. A batch seen before (replayed after a failure) does nothing,
-    because the version carries the id of its batch.
+    because the version carries the stream's id with its batch; batches of another checkpoint are
+    another stream's and are taken.
     """
     keys = list(spec.primary_key)
     target_root = f"{root}/tables/{spec.name}"
@@ -60,17 +67,17 @@ def upsert_stream(
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = snapshots.current(spark, target_root)
-        if before and before.batch_id is not None and before.batch_id >= batch_id:
+        stream_ = stream_id(spark, checkpoint)
+        if before and before.batches.get(stream_, -1) >= batch_id:
             return
         rows = batch.select(*(F.expr(c.expression).alias(c.sql_name) for c in included(columns)))
         moment = datetime.now(timezone.utc).replace(tzinfo=None)
         ready = upsert.latest_per_key(prepare(rows, spec, columns, moment), keys, ["ts_source"])
         stage.write_stage(ready, f"{root}/stage", spec.name, stage.STAGING)
         staged = stage.read_stage(spark, f"{root}/stage", spec.name, stage.STAGING)
-        small = upsert.fits_broadcast(staged, keys)
         if before:
-            staged = drop_outdated(staged, snapshots.read(spark, target_root, before), keys, small)
-        publish_batch(staged, spec, target_root, small, batch_id=batch_id)
+            staged = drop_outdated(staged, snapshots.read(spark, target_root, before), keys)
+        publish_batch(staged, spec, target_root, source_batch=(stream_, batch_id))
 
     return (
         stream.writeStream.foreachBatch(load)
@@ -80,17 +87,12 @@ def upsert_stream(
     )
 
 
-def drop_outdated(
-    batch: DataFrame, target: DataFrame, keys: Sequence[str], small: bool
-) -> DataFrame:
+def drop_outdated(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows without those older than the row the target has."""
-    new = batch.select(*keys, F.col("ts_source").alias("new_ts"))
     old = target.select(*keys, F.col("ts_source").alias("old_ts"))
-    older = old.join(F.broadcast(new) if small else new, list(keys)).filter("new_ts < old_ts")
-    gone = older.select(*keys)
-    return batch.join(F.broadcast(gone) if small else gone, list(keys), "left_anti").select(
-        *batch.columns
-    )
+    both = batch.join(old, list(keys), "left")
+    outdated = F.coalesce(F.col("ts_source") < F.col("old_ts"), F.lit(False))
+    return both.filter(~outdated).select(*batch.columns)
 
 
 def drop_repeats(
@@ -110,7 +112,7 @@ def drop_repeats(
 def window_stats(
     stream: DataFrame, length: str = "24 hours", slide: str = "1 hour", delay: str = "1 hour"
 ) -> DataFrame:
-    """Runs, failures, rows and seconds per table and trailing window."""
+    """Runs, failures, rows and mean seconds per table and trailing window."""
     return (
         _event_time(stream, "log_ts")
         .withWatermark("log_ts", delay)
@@ -119,14 +121,16 @@ def window_stats(
             F.count(F.lit(1)).alias("total_runs"),
             F.count_if(F.col("status") == "failed").alias("fail_count"),
             F.sum("rows_processed").alias("total_rows"),
+            F.avg("duration_seconds").alias("avg_duration"),
         )
         .select(
-            F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+            wall_time(F.col("w.start")).alias("window_start"),
+            wall_time(F.col("w.end")).alias("window_end"),
             "table_name",
             "total_runs",
             "fail_count",
             "total_rows",
+            "avg_duration",
         )
     )
 
