@@ -5,15 +5,30 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
+#: Rows of an Arrow batch, where the session leaves Spark's own number.
+ROWS = 500
+_SPARKS_ROWS = "10000"
 #: Bytes of text that are taken apart at a time; a longer text comes alone.
-PIECE = 2 << 20
+PIECE = 1 << 20
 #: Entries of a cache; a full one starts anew, which changes the time and nothing else.
-CACHE = 500_000
+CACHE = 250_000
 #: Words longer than this are worked out each time.
 CACHED_LENGTH = 64
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Let the session send rows to Python in batches of ROWS, unless it names another number.
+
+    Spark's own 10,000 rows of long texts cost every worker and its executor tens of megabytes.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == _SPARKS_ROWS:
+        conf.set(name, str(ROWS))
+    return df
+
+
 def pieces(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = PIECE
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:

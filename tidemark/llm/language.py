@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import CACHE, pieces
+from tidemark.llm.batches import CACHE, pieces, small_batches
 from tidemark.sources.scratch import materialize
 
 #: Buckets of hashed n-grams; with MAX_LANGUAGES this bounds the broadcast matrix to 64 MB.
@@ -112,7 +112,7 @@ def ngram_counts(labelled: DataFrame, lang: str, buckets: int) -> DataFrame:
             )
 
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), "text")
-    counted = rows.mapInArrow(count, "lang string, bucket bigint, n bigint")
+    counted = small_batches(rows).mapInArrow(count, "lang string, bucket bigint, n bigint")
     return counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
@@ -204,7 +204,7 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
             T.StructField("_tm_score", T.DoubleType()),
         ]
     )
-    return docs.mapInArrow(score, schema)
+    return small_batches(docs).mapInArrow(score, schema)
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import pieces
+from tidemark.llm.batches import pieces, small_batches
 from tidemark.llm.tokens import word_tokenizer
 from tidemark.sources.scratch import materialize
 
@@ -80,7 +80,7 @@ def encoded_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int)
             *[T.StructField(c, T.LongType()) for c in _LONGS],
         ]
     )
-    return docs.select("doc_id", "text").mapInArrow(encode, schema)
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(encode, schema)
 
 
 _LONGS = ("start", "length", "ids_crc32", "deal")

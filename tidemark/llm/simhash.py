@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import pieces
+from tidemark.llm.batches import pieces, small_batches
 from tidemark.llm.components import components
 from tidemark.llm.spread import join_groups, keep_decided, text_key
 from tidemark.sources.scratch import materialize
@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             T.StructField("fp", T.LongType()),
         ]
     )
-    return rows.mapInArrow(hashed, schema)
+    return small_batches(rows).mapInArrow(hashed, schema)
 
 
 def _listed(fps: DataFrame, masks: list[int], label: str) -> DataFrame:

@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import CACHE, CACHED_LENGTH, pieces
+from tidemark.llm.batches import CACHE, CACHED_LENGTH, pieces, small_batches
 
 #: Documents with more tokens than this are over the limit.
 LIMIT = 4096
@@ -129,4 +129,4 @@ def token_counts(docs: DataFrame, model: str, limit: int = LIMIT) -> DataFrame:
             T.StructField("over_limit", T.BooleanType()),
         ]
     )
-    return docs.select("doc_id", "text").mapInArrow(count, schema)
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(count, schema)

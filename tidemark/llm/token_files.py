@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import pieces
+from tidemark.llm.batches import pieces, small_batches
 from tidemark.llm.spread import running_totals, text_key
 from tidemark.llm.tokens import word_tokenizer
 
@@ -31,7 +31,7 @@ ORC_OPTIONS = {
     "orc.row.index.stride": "1000",
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
-    "compression": "zstd",
+    "compression": "lz4",
 }
 
 
@@ -58,7 +58,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             T.StructField("ids", T.ArrayType(T.IntegerType())),
         ]
     )
-    return docs.select("doc_id", "text_key", "text").mapInArrow(encode, schema)
+    return small_batches(docs.select("doc_id", "text_key", "text")).mapInArrow(encode, schema)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:

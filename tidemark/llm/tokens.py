@@ -1,81 +1,182 @@
-"""Token ids by a public tokenizer, word by word with a cache of bounded size.
+"""Token ids by a public tokenizer, piece by piece with caches of bounded size.
 
-The pre-tokenizers of the supported kinds cut a text at white space before any merge, so the ids of a
-text are those of its parts in a row. Parts are encoded by the tokenizers library once per cache; a
-text that holds one of the tokenizer's special strings is encoded whole where cuts could matter.
+The pre-tokenizers of the supported kinds cut a text at white space before any merge, and between a
+letter or digit and the punctuation behind it, so the ids of a text are those of its pieces in a row.
+Pieces are encoded by the tokenizers library, many in one call with a special token between them. A
+text that holds one of the special strings, or a sign that the cuts use, is encoded whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
-from tidemark.llm.batches import CACHE, CACHED_LENGTH
+from tidemark.llm.batches import CACHED_LENGTH
 
 #: White space of Unicode, as the tokenizers' patterns understand it.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A word with the space before it; white space that no word takes.
 _BYTE_PARTS = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: White space beside white space, but for single line breaks, and first bytes of wider white space.
+_UNEVEN = [bytes(p) for c in range(9, 14) for p in ((32, c), (c, 32))]
+_UNEVEN += [b"\n\n", b"\t", b"\x0b", b"\x0c", b"\r", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80"]
+_UNEVEN += [b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
+_ENDS = b".,;:!?"
+_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+#: Pieces of one call to the library.
+_CALL = 1000
+#: Entries of the cache.
+WORDS = 400_000
 
 
-def _spaced_words(text: str) -> list[str]:
-    """Parts for tokenizers that drop white space."""
-    return [w.decode() for w in text.encode().split()]
+def _plain_pieces(key: bytes) -> list[bytes]:
+    """The word and the punctuation behind it, where a letter or digit is before that."""
+    if key[-1] in _ENDS:
+        word = key.rstrip(_ENDS)
+        if word and word[-1] in _ALNUM:
+            return [word, key[len(word) :]]
+    return [key]
+
+
+def _spaced_pieces(key: bytes) -> list[bytes]:
+    """The same for keys that stand for a space and a word, or after \\0 or \\n for a word alone."""
+    found = []
+    if key[0] == 10:
+        found, key = [b"\0\n"], b"\0" + key[1:]
+    if key[-1] in _ENDS:
+        word = key.rstrip(_ENDS)
+        if word and word[-1] in _ALNUM:
+            return [*found, word, b"\0" + key[len(word) :]]
+    return [*found, key] if len(key) > 1 or key != b"\0" else found
+
+
+def _cut_spaced(raw: bytes) -> list[bytes]:
+    """Keys of the parts of a text whose tokenizer keeps white space."""
+    if raw[0] != 32 and raw[-1] != 32 and not any(u in raw for u in _UNEVEN):
+        keys = raw.replace(b"\n", b" \n").split(b" ")
+        if b"" not in keys:
+            keys[0] = b"\0" + keys[0]
+            return keys
+    return [b"\0" + p.encode() for p in _BYTE_PARTS.findall(raw.decode())]
+
+
+def _spaced_text(key: bytes) -> bytes:
+    return key[1:] if key[0] == 0 else b" " + key
+
+
+def _lower_words(raw: bytes) -> list[bytes]:
+    return raw.lower().split()
+
+
+def _sliced(keys: list[bytes], flat: bytes, starts: list[int], ends: list[int]):
+    spans = map(slice, starts, [*ends, len(flat)])
+    return zip(keys, map(flat.__getitem__, spans), strict=True)
 
 
 class WordTokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, cache: int = CACHE) -> None:
+    def __init__(self, path: str, cache: int = WORDS) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = cache
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[bytes, bytes] = {}
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = [t["content"].encode() for t in spec["added_tokens"]]
+        self.between = spec["added_tokens"][0]["content"].encode()
+        self.between_id = spec["added_tokens"][0]["id"]
         kind = spec["pre_tokenizer"]["type"]
         if kind == "ByteLevel" and not spec["normalizer"]:
-            self.parts: Callable[[str], list[str]] = _BYTE_PARTS.findall
-            self.whole = self.special
-        elif spec["model"]["end_of_word_suffix"]:
-            self.parts, self.whole = _spaced_words, []
+            self._cut, self._pieces, self._text = _cut_spaced, _spaced_pieces, _spaced_text
+            edge = "\u0120"  # how the vocabulary writes a space; it opens a word
+            self._joint, self._ends = b"", False
+            marked = [i for t, i in spec["model"]["vocab"].items() if t.startswith(edge)]
+        elif edge := spec["model"]["end_of_word_suffix"]:
+            # Drops white space and lower-cases, so A-Z may be lower-cased ahead.
+            self._cut, self._pieces, self._text = _lower_words, _plain_pieces, bytes
+            self._joint, self._ends = b" ", True
+            marked = [i for t, i in spec["model"]["vocab"].items() if t.endswith(edge)]
         else:
             raise ValueError(f"no rule to cut texts for a tokenizer of kind {kind}")
+        self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.edge[marked] = True
+
+    def _whole(self, text: bytes) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)
+        return np.array(found[0].ids, "<u4")
+
+    def _encode(self, keys: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of pieces without special strings, many in one call.
 
-    def _encode(self, texts: Iterable[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(list(texts), add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        Words of unaccented letters are one piece of the pre-tokenizer each, so a call of such words
+        is cut where the vocabulary marks their ends; others are kept apart by a special token.
+        """
+        found: dict[bytes, bytes] = {}
+        simple = [k for k in keys if k.isalpha()]
+        others = [k for k in keys if not k.isalpha()]
+        for at in range(0, len(simple), _CALL):
+            call = simple[at : at + _CALL]
+            ids = self._whole(self._joint.join(map(self._text, call)))
+            edges = 4 * np.flatnonzero(self.edge[ids])
+            inner = ((edges + 4)[:-1] if self._ends else edges[1:]).tolist()
+            found.update(_sliced(call, ids.tobytes(), [0, *inner], inner))
+        for at in range(0, len(others), _CALL):
+            call = others[at : at + _CALL]
+            ids = self._whole(self.between.join(map(self._text, call)))
+            cuts = 4 * np.flatnonzero(ids == self.between_id)
+            found.update(_sliced(call, ids.tobytes(), [0, *(cuts + 4).tolist()], cuts.tolist()))
+        return found
 
     def ids(self, texts: list[bytes | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
+        unknown: list[tuple[int, list[bytes], list[bytes | None], list[int]]] = []
+        get = self.cache.get
+        seen = 0
         for i, raw in enumerate(texts):
-            text = (raw or b"").decode()
-            if any(s in text for s in self.whole):
-                out[i] = self._encode([text])[0]
-            else:
-                cut.append((i, self.parts(text)))
-        if len(self.cache) > self.limit:
-            self.cache = {}
-        fresh = list({p for _, parts in cut for p in parts if p not in self.cache})
-        known = dict(zip(fresh, self._encode(fresh), strict=True))
-        self.cache.update((p, v) for p, v in known.items() if len(p) <= CACHED_LENGTH)
-        long = {p: v for p, v in known.items() if len(p) > CACHED_LENGTH}
-        cache = self.cache
-        for i, parts in cut:
-            if long:
-                out[i] = b"".join([long[p] if p in long else cache[p] for p in parts])
-            else:
-                out[i] = b"".join(map(cache.__getitem__, parts))
+            if not raw:
+                continue
+            if b"\0" in raw or any(s in raw for s in self.special):
+                out[i] = self._whole(raw).tobytes()
+                continue
+            keys = self._cut(raw)
+            found = list(map(get, keys))
+            seen += len(keys)
+            try:
+                out[i] = b"".join(found)
+            except TypeError:  # a key that is not in the cache
+                unknown.append((i, keys, found, [j for j, v in enumerate(found) if v is None]))
+        if unknown:
+            self._learn(unknown, out, seen)
         return out
 
+    def _learn(self, unknown: list, out: list[bytes], seen: int) -> None:
+        """Encode what the cache lacks and fill the open texts."""
+        cache = self.cache
+        fresh = {keys[j] for _, keys, _, missing in unknown for j in missing}
+        composed = {k: own for k in fresh if (own := self._pieces(k)) != [k]}
+        needed = {p for own in composed.values() for p in own}
+        needed.update(fresh.difference(composed))
+        new = self._encode([p for p in needed if p not in cache])
+        values = {k: b"".join([new.get(p) or cache.get(p, b"") for p in own]) for k, own in composed.items()}
+        values.update((k, new[k]) for k in fresh if k not in values)
+        for i, keys, found, missing in unknown:
+            for j in missing:
+                found[j] = values[keys[j]]
+            out[i] = b"".join(found)
+        if len(cache) > self.limit and 2 * len(fresh) > seen > _CALL:
+            self.cache = cache = {}  # full of words that are no longer met
+        # A full cache stays as it is, as frequent words are met early; so is one with composed words.
+        if len(cache) <= self.limit:
+            cache.update((k, v) for k, v in new.items() if len(k) <= CACHED_LENGTH)
+        if 2 * len(cache) <= self.limit:
+            cache.update((k, values[k]) for k in composed if len(k) <= CACHED_LENGTH)
+
 
 @lru_cache(maxsize=2)
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One per Python worker, so that its cache outlives a task."""
+    """One per Python worker, so that its caches outlive a task."""
     return WordTokenizer(path)
