@@ -256,11 +256,9 @@ _SHARE = "empty_total / total_rows * 100"
 _ADVICE_SQL = f"""SELECT *,
     distinct_count <= 1 OR {_SHARE} >= 99.9 OR ({_SHARE} >= 90 AND distinct_count <= 2)
       AS recommend_exclude,
-    CASE WHEN distinct_count <= 1 THEN 'static (at most 1 value)'
-         WHEN {_SHARE} >= 99.9 THEN printf('%.1f%% empty', {_SHARE})
-         WHEN {_SHARE} >= 90 AND distinct_count <= 2
-           THEN printf('%.1f%% empty with at most 2 values', {_SHARE})
-         ELSE 'active column' END AS reason
+    CASE WHEN distinct_count <= 1 THEN 'static'
+         WHEN {_SHARE} >= 99.9 THEN 'all_empty'
+         WHEN {_SHARE} >= 90 AND distinct_count <= 2 THEN 'mostly_empty' END AS rule
     FROM ({_PROFILE_SQL}) q"""
 
 

@@ -122,24 +122,26 @@ def column_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.01)
     )
 
 
-def with_advice(profile: DataFrame, min_empty_pct: float = 90.0) -> DataFrame:
-    """Mark the columns that carry next to nothing, with the reason."""
+# Shares of empty values and numbers of distinct ones that rule a column out.
+ALL_EMPTY_PCT = 99.9
+MOSTLY_EMPTY_PCT = 90.0
+MOSTLY_EMPTY_VALUES = 2
+STATIC_VALUES = 1
+
+
+def with_advice(profile: DataFrame, min_empty_pct: float = MOSTLY_EMPTY_PCT) -> DataFrame:
+    """Mark the columns that carry next to nothing, with the rule that fired (NULL if none did);
+    the figures it went by are in the other columns."""
     # Judged on the exact share, not on the rounded one that is reported.
     empty_pct = F.col("empty_total") / F.col("total_rows") * 100
     distinct = F.col("distinct_count")
-    static = distinct <= 1
-    all_empty = empty_pct >= 99.9
-    mostly_empty = (empty_pct >= min_empty_pct) & (distinct <= 2)
-    share = F.format_string("%.1f%% empty", empty_pct)
-    reason = (
-        F.when(static, F.lit("static (at most 1 value)"))
-        .when(all_empty, share)
-        .when(mostly_empty, F.concat(share, F.lit(" with at most 2 values")))
-        .otherwise(F.lit("active column"))
-    )
-    return profile.select(
-        "*", (static | all_empty | mostly_empty).alias("recommend_exclude"), reason.alias("reason")
+    few = distinct <= MOSTLY_EMPTY_VALUES
+    rule = (
+        F.when(distinct <= STATIC_VALUES, F.lit("static"))
+        .when(empty_pct >= ALL_EMPTY_PCT, F.lit("all_empty"))
+        .when((empty_pct >= min_empty_pct) & few, F.lit("mostly_empty"))
     )
+    return profile.select("*", rule.isNotNull().alias("recommend_exclude"), rule.alias("rule"))
 
 
 def excluded_names(advice: DataFrame, keys: Sequence[str] = ()) -> list[str]:

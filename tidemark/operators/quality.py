@@ -16,6 +16,7 @@ from tidemark.functions.measures import ratio
 
 CRITICAL = "critical"
 WARNING = "warning"
+# Keys of a rule file.
 RULE_KEYS = ("not_null", "unique", "ranges", "patterns", "min_fill_rate")
 RESULT_COLUMNS = (
     "check_name",

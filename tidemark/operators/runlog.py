@@ -17,6 +17,7 @@ from tidemark.functions.text import clip
 from tidemark.operators.percentiles import exact_percentiles
 from tidemark.operators.upsert import latest_per_key
 
+# Step and status names of the log.
 COMPLETE = "flow_complete"
 SUCCESS = "success"
 FAILED = "failed"
@@ -43,6 +44,8 @@ def _failed() -> Column:
 
 def _completed_since(log: DataFrame, as_of: datetime, span: timedelta) -> DataFrame:
     recent = F.col("log_ts") >= at(as_of - span)
+    if "log_date" in log.columns:  # a stored log has a folder per day
+        recent &= F.col("log_date") >= F.lit((as_of - span).date())
     return log.filter((F.col("step_name") == COMPLETE) & recent)
 
 

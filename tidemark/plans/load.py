@@ -19,6 +19,7 @@ from tidemark.sources import logs, snapshots, stage
 from tidemark.spec import ColumnSpec, TableSpec, included
 
 
+# Step, stage and metric names below are fixed values: the vocabulary of the logs.
 _WAS_PART = f"was_{snapshots.PART}"
 
 

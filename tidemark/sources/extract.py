@@ -50,11 +50,17 @@ def jdbc_options(
     table: str,
     partition_column: str | None = None,
     bounds: tuple | None = None,
-    partitions: int = 1,
+    partitions: int = 16,
     fetch_size: int = 50_000,
+    single_task: bool = False,
     **options: str,
 ) -> dict[str, str]:
-    """Options of a JDBC read; with a partition column the table is read in parallel ranges."""
+    """Options of a JDBC read in parallel ranges of the partition column.
+
+    A table without such a column is read by one connection, which has to be asked for.
+    """
+    if single_task == bool(partition_column):
+        raise ValueError("give a partition column with bounds, or ask for a single task")
     result = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **options}
     if partition_column:
         if not bounds or partitions < 2:

@@ -32,10 +32,14 @@ def log_path(root: str, log: str) -> str:
 def append_rows(
     spark: SparkSession, root: str, log: str, schema: str, rows: Iterable[tuple]
 ) -> None:
-    """Append the few rows a job writes about itself."""
-    spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(
-        log_path(root, log)
-    )
+    """Append the few rows a job writes about itself, in the folder of their day (`log_date`).
+
+    Reports of the last days filter by the folder too, so they never open older files.
+    """
+    written = spark.createDataFrame(list(rows), schema).coalesce(1)
+    written.withColumn("log_date", F.to_date("log_ts")).write.mode("append").partitionBy(
+        "log_date"
+    ).parquet(log_path(root, log))
 
 
 def append_quality(results: DataFrame, root: str, table: str, check_ts: datetime) -> None:
