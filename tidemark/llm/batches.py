@@ -13,7 +13,7 @@ _SPARKS_ROWS = "10000"
 #: Bytes of text that are taken apart at a time; a longer text comes alone.
 PIECE = 1 << 20
 #: Entries of a cache; a full one starts anew, which changes the time and nothing else.
-CACHE = 250_000
+CACHE = 150_000
 #: Words longer than this are worked out each time.
 CACHED_LENGTH = 64
 

@@ -21,16 +21,21 @@ from tidemark.llm.batches import CACHED_LENGTH
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A word with the space before it; white space that no word takes.
 _BYTE_PARTS = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-#: White space beside white space, but for single line breaks, and first bytes of wider white space.
-_UNEVEN = [bytes(p) for c in range(9, 14) for p in ((32, c), (c, 32))]
-_UNEVEN += [b"\n\n", b"\t", b"\x0b", b"\x0c", b"\r", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80"]
-_UNEVEN += [b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
+#: Line breaks next to white space, other ASCII white space, and wider white space by first byte.
+_BESIDE = (b"\n\n", b"\n ", b" \n")
+_OTHER = (b"\t", b"\x0b", b"\x0c", b"\r")
+_WIDE = {
+    b"\xc2": (b"\xc2\x85", b"\xc2\xa0"),
+    b"\xe1": (b"\xe1\x9a\x80",),
+    b"\xe2": (b"\xe2\x80", b"\xe2\x81\x9f"),
+    b"\xe3": (b"\xe3\x80\x80",),
+}
 _ENDS = b".,;:!?"
 _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 #: Pieces of one call to the library.
 _CALL = 1000
 #: Entries of the cache.
-WORDS = 400_000
+WORDS = 320_000
 
 
 def _plain_pieces(key: bytes) -> list[bytes]:
@@ -54,9 +59,18 @@ def _spaced_pieces(key: bytes) -> list[bytes]:
     return [*found, key] if len(key) > 1 or key != b"\0" else found
 
 
+def _is_even(raw: bytes) -> bool:
+    """True when single spaces and single line breaks are all the white space of a text."""
+    if any(c in raw for c in _OTHER) or (b"\n" in raw and any(p in raw for p in _BESIDE)):
+        return False
+    return raw.isascii() or not any(
+        first in raw and any(w in raw for w in wide) for first, wide in _WIDE.items()
+    )
+
+
 def _cut_spaced(raw: bytes) -> list[bytes]:
     """Keys of the parts of a text whose tokenizer keeps white space."""
-    if raw[0] != 32 and raw[-1] != 32 and not any(u in raw for u in _UNEVEN):
+    if raw[0] != 32 and raw[-1] != 32 and _is_even(raw):
         keys = raw.replace(b"\n", b" \n").split(b" ")
         if b"" not in keys:
             keys[0] = b"\0" + keys[0]
@@ -157,23 +171,37 @@ class WordTokenizer:
         """Encode what the cache lacks and fill the open texts."""
         cache = self.cache
         fresh = {keys[j] for _, keys, _, missing in unknown for j in missing}
-        composed = {k: own for k in fresh if (own := self._pieces(k)) != [k]}
-        needed = {p for own in composed.values() for p in own}
-        needed.update(fresh.difference(composed))
-        new = self._encode([p for p in needed if p not in cache])
-        values = {k: b"".join([new.get(p) or cache.get(p, b"") for p in own]) for k, own in composed.items()}
-        values.update((k, new[k]) for k in fresh if k not in values)
-        for i, keys, found, missing in unknown:
-            for j in missing:
-                found[j] = values[keys[j]]
-            out[i] = b"".join(found)
+        # Most keys are one piece: no punctuation at the end, no line break in front.
+        plain = [k for k in fresh if k[-1] not in _ENDS and k[0] != 10]
+        composed = {k: self._pieces(k) for k in fresh.difference(plain)}
+        whole = [k for k, own in composed.items() if own == [k]]
+        parts = {p for own in composed.values() for p in own}.difference(fresh)
+        new = self._encode(plain + whole + [p for p in parts if p not in cache])
+        for k in whole:
+            del composed[k]
+        values = {
+            k: b"".join([new.get(p) or cache.get(p, b"") for p in own])
+            for k, own in composed.items()
+        }
         if len(cache) > self.limit and 2 * len(fresh) > seen > _CALL:
             self.cache = cache = {}  # full of words that are no longer met
         # A full cache stays as it is, as frequent words are met early; so is one with composed words.
         if len(cache) <= self.limit:
-            cache.update((k, v) for k, v in new.items() if len(k) <= CACHED_LENGTH)
+            cache.update(_short(new))
         if 2 * len(cache) <= self.limit:
-            cache.update((k, values[k]) for k in composed if len(k) <= CACHED_LENGTH)
+            cache.update(_short(values))
+        new.update(values)
+        for i, keys, found, missing in unknown:
+            for j in missing:
+                found[j] = new[keys[j]]
+            out[i] = b"".join(found)
+
+
+def _short(found: dict[bytes, bytes]) -> dict[bytes, bytes]:
+    """Without the words that are worked out each time."""
+    if max(map(len, found), default=0) <= CACHED_LENGTH:
+        return found
+    return {k: v for k, v in found.items() if len(k) <= CACHED_LENGTH}
 
 
 @lru_cache(maxsize=2)
