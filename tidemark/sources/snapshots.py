@@ -1,7 +1,9 @@
 """Versioned snapshots of a target table on plain Parquet.
 
-A version is written beside the ones in use and becomes visible with one row in the `commits`
-folder, so readers see the old or the new state and a failed load leaves the old one. A table may
+A version is written beside the ones in use and becomes visible with a folder of its own under
+`commits`, so readers see the old or the new state and a failed load leaves the old one. `newest`
+holds the number of a recent commit; a reader starts there and goes on while there is a next one,
+so finding the current version never reads the whole history. A table may
 be split into parts (`part` column); a version then lists one folder per part, and parts that a
 batch does not touch are listed again instead of being rewritten. One writer at a time.
 """
@@ -12,7 +14,7 @@ import json
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,23 +38,35 @@ class Version:
     folders: dict[str, str]
 
 
-def _commits(root: str) -> str:
-    return f"{root.rstrip('/')}/commits"
+def _commit(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/commits/version={version}"
 
 
-def _data(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/data/version={version}"
+def _newest(root: str) -> str:
+    return f"{root.rstrip('/')}/newest"
 
 
-def current(spark: SparkSession, root: str) -> Version | None:
-    """The last published version, None before the first."""
+def _first_row(spark: SparkSession, path: str, schema: str) -> Row | None:
+    """The row of a small JSON file, None when there is none (yet)."""
     try:
-        commits = spark.read.schema(_COMMIT).json(_commits(root))
-        row = commits.orderBy(F.desc("version")).first()
+        return spark.read.schema(schema).json(path).first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+
+
+def _data(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/data/version={version}"
+
+
+def current(spark: SparkSession, root: str) -> Version | None:
+    """The last published version, None before the first."""
+    hint = _first_row(spark, _newest(root), "version bigint")
+    number = hint["version"] if hint else 0
+    row = _first_row(spark, _commit(root, number), _COMMIT) if number else None
+    while (later := _first_row(spark, _commit(root, number + 1), _COMMIT)) is not None:
+        row, number = later, number + 1
     if row is None:
         return None
     schema = T.StructType.fromJson(json.loads(row["table_schema"]))
@@ -127,11 +141,15 @@ def publish(
         rows.drop(PART).write.mode("overwrite").parquet(path)
         folders = {WHOLE: path}
     batches = (before.batches if before else {}) | dict([batch] if batch else [])
-    commit = [(number, batches, schema.json(), folders)]
-    spark.createDataFrame(commit, _COMMIT).coalesce(1).write.mode("append").json(_commits(root))
+    _write_row(spark, _commit(root, number), _COMMIT, (number, batches, schema.json(), folders))
+    _write_row(spark, _newest(root), "version bigint", (number,))
     return Version(number, batches, schema, folders)
 
 
+def _write_row(spark: SparkSession, path: str, schema: str, row: tuple) -> None:
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").json(path)
+
+
 def _written_parts(spark: SparkSession, path: str, schema: T.StructType) -> list[str]:
     """Parts in a written folder."""
     return sorted(part_names(spark.read.schema(schema).parquet(path)))
