@@ -37,6 +37,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _SIZE = len(ALPHABET) + 1
 #: Documents that the identifiers are learned from, about; the bound of the sample.
 SAMPLE = 4000
+#: Weight of a character's own frequency in the transitions to it.
+PRIOR = 10.0
 #: Mean log-likelihood ratio per transition that makes a token a secret.
 THRESHOLD = 0.4
 
@@ -84,12 +86,9 @@ def _places(token: Column) -> Column:
 
 
 def _pairs(token: Column) -> Column:
-    """Numbers of the transitions of a token."""
-    places = _places(token)
-    return F.transform(
-        F.sequence(F.lit(1), F.length(token) - 1),
-        lambda i: F.get(places, i - 1) * _SIZE + F.get(places, i),
-    )
+    """Numbers of the transitions of a token of two characters or more."""
+    places, n = _places(token), F.length(token) - 1
+    return F.zip_with(F.slice(places, 1, n), F.slice(places, 2, n), lambda a, b: a * _SIZE + b)
 
 
 def _transitions(tokens: DataFrame) -> dict[int, int]:
@@ -113,8 +112,21 @@ def ratios(random: dict[int, int], ordinary: dict[int, int]) -> list[float] | No
         return None
     tables = []
     for counts in (random, ordinary):
-        rows = [[counts.get(a * _SIZE + b, 0) + 0.5 for b in range(_SIZE)] for a in range(_SIZE)]
-        tables.append([math.log(n / sum(row)) for row in rows for n in row])
+        single = [0.5] * _SIZE
+        for pair, n in counts.items():
+            single[pair % _SIZE] += n
+        whole = sum(single)
+        starts = [sum(counts.get(a * _SIZE + b, 0) for b in range(_SIZE)) for a in range(_SIZE)]
+        # Transitions lean on the frequency of the character where a start was seldom met.
+        tables.append(
+            [
+                math.log(
+                    (counts.get(a * _SIZE + b, 0) + PRIOR * single[b] / whole) / (starts[a] + PRIOR)
+                )
+                for a in range(_SIZE)
+                for b in range(_SIZE)
+            ]
+        )
     return [a - b for a, b in zip(*tables, strict=True)]
 
 
