@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from tidemark.llm.batches import pieces, small_batches
 from tidemark.llm.spread import running_totals, text_key
 from tidemark.llm.tokens import word_tokenizer
+from tidemark.sources.scratch import materialize
 
 #: Options of the files; see the ORC specification. 64 MB stripes, an index entry per 1,000 rows.
 ORC_OPTIONS = {
@@ -101,5 +102,7 @@ def token_index(tokens: DataFrame) -> DataFrame:
         ]
     )
     found = tokens.select("doc_id", "text_key", "ids").mapInArrow(digest, schema)
-    placed = running_totals(found, ["doc_id", "text_key"], "n_tokens", "start")
+    # Written once, as dealing them out by ranges reads the rows twice.
+    digests = materialize(found, "digests")
+    placed = running_totals(digests, ["doc_id", "text_key"], "n_tokens", "start")
     return placed.select("doc_id", "start", "n_tokens", "ids_crc32")
