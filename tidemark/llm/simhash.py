@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.batches import pieces, small_batches
 from tidemark.llm.components import components
-from tidemark.llm.spread import join_groups, keep_decided, text_key
+from tidemark.llm.spread import join_groups, text_key
 from tidemark.sources.scratch import materialize
 
 #: Words of a shingle.
@@ -206,13 +206,3 @@ def near_groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
     labelled = join_groups(hashed, materialize(labels, "labels"), "fp", "n")
     return labelled.select("doc_id", "text_key", "fp", "first")
-
-
-def drop_near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Documents (doc_id, text, any others) with the first of each group."""
-    grouped = near_groups(docs, width)
-    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (
-        F.col("text_key") == F.col("first.text_key")
-    )
-    decided = grouped.select("doc_id", "text_key", same.alias("kept"))
-    return keep_decided(docs, materialize(decided, "near"))
