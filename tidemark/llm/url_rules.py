@@ -1,7 +1,7 @@
 """URL filters: fixed rules first, association rules mined from labelled pages for the rest.
 
-A page is labelled through `labels` by its id: toxic or of low quality means block, else allow. The
-tokens of a url (parts of its host, words of its path, names of its parameters; numbers share one
+A page is labelled through `labels` by the document that its url names, the last number of the path
+(page ids are counted by themselves): toxic or of low quality means block, else allow. The tokens of a url (parts of its host, words of its path, names of its parameters; numbers share one
 token) and the label are a transaction. Spark's FP-growth finds the frequent combinations; rules
 from tokens to a label stay when support, confidence and lift are high enough and no shorter rule is
 at least as sure. They are matched through an inverted index: a token lists the rules that hold it,
@@ -9,7 +9,7 @@ a rule fires when all its tokens have been met, and the surest one decides. No r
 
 The number of mined rules is bounded by the support, not by the input. Defined results: a null url,
 or one without `://`, has an empty host and path and no tokens, so it is allowed; without labelled
-pages no rules are mined; ties between rules go to the higher support, then to the first by name.
+pages no rules are mined; a page without a number in its path has no label; ties between rules go to the higher support, then to the first by name.
 """
 
 from __future__ import annotations
@@ -50,6 +50,12 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), pattern, 1)
 
 
+def document_of(path: Column) -> Column:
+    """Number of the document that a path names: its last run of digits, as text without zeros ahead."""
+    last = F.regexp_extract(path, r"(?s)([0-9]+)[^0-9]*$", 1)
+    return F.regexp_replace(F.when(last != "", last), "^0+(?=.)", "")
+
+
 def fixed_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """(rule, verdict) of the longest fixed rule that fits, else nulls."""
     rule = verdict = None
@@ -151,12 +157,18 @@ def judged(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     url = F.col("url")
     host, path = host_of(url), path_of(url)
     parts = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
-    parts = parts.select("page_id", "host", "path", tokens_of(url, host, path).alias("tokens"))
+    parts = parts.select(
+        "page_id",
+        "host",
+        "path",
+        tokens_of(url, host, path).alias("tokens"),
+        document_of(F.col("path")).alias("document"),
+    )
     bad = F.bool_or((F.col("toxic") == 1) | (F.col("quality") == 0))
-    known = labels.groupBy(F.col("doc_id").alias("page_id")).agg(bad.alias("bad"))
-    known = known.filter(F.col("bad").isNotNull() & F.col("page_id").isNotNull())
+    known = labels.groupBy(F.col("doc_id").cast("string").alias("document")).agg(bad.alias("bad"))
+    known = known.filter(F.col("bad").isNotNull() & F.col("document").isNotNull())
     label = F.when(F.col("bad"), "block").otherwise("allow").alias("label")
-    index = RuleIndex(mine(parts.join(known, "page_id").select("tokens", label)))
+    index = RuleIndex(mine(parts.join(known, "document").select("tokens", label)))
 
     @F.pandas_udf("string")
     def by_rules(tokens: pd.Series) -> pd.Series:
