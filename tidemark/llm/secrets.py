@@ -3,19 +3,24 @@
 The patterns find assignments, access keys and hexadecimal runs. The method looks at other long
 tokens: two first-order character models, one of random strings and one of ordinary identifiers,
 give a log-likelihood ratio per transition, and tokens whose mean ratio is above a threshold are
-added. The models are counted from labelled samples: the values that the fixed patterns found are
-random strings, the words without digits of a bounded sample of documents are identifiers.
+added. The models are counted from labelled samples. Random strings are drawn once from the alphabets
+below, in equal parts, whatever the table holds; the different values that a fixed pattern found are
+one part more per kind, which never weighs more than a drawn one. Identifiers are the words without
+digits of a bounded sample of documents.
 
 Everything is a DataFrame expression: matches by `regexp_extract_all`, their places from the lengths
 of what `split` leaves between them, ratios from a table of 68 x 68 numbers in the plan.
 
 Defined results: a null text is empty and has no spans; equal rows are scanned each for itself;
-without a labelled value (or without words) nothing is added to the fixed spans.
+without words nothing is added to the fixed spans.
 """
 
 from __future__ import annotations
 
 import math
+import random
+import string
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +40,19 @@ KINDS = [*PATTERNS, MARKOV]
 #: Symbols of the models; all others share the last place.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _SIZE = len(ALPHABET) + 1
+#: Alphabets of the random strings that are drawn, and how many strings of DRAWN_LENGTH for each.
+ALPHABETS = {
+    "hex": "0123456789abcdef",
+    "base32": string.ascii_uppercase + "234567",
+    "base64": string.ascii_letters + string.digits + "+/",
+    "alphanumeric": string.ascii_letters + string.digits,
+    "lower and digits": string.ascii_lowercase + string.digits,
+    "upper and digits": string.ascii_uppercase + string.digits,
+    "letters": string.ascii_letters,
+    "lower": string.ascii_lowercase,
+    "upper": string.ascii_uppercase,
+}
+DRAWN, DRAWN_LENGTH = 1000, 41
 #: Documents that the identifiers are learned from, about; the bound of the sample.
 SAMPLE = 4000
 #: Weight of a character's own frequency in the transitions to it.
@@ -98,6 +116,28 @@ def _transitions(tokens: DataFrame) -> dict[int, int]:
     return {pair: n for pair, n in counted.collect()}
 
 
+def drawn(seed: int = 1) -> dict[int, float]:
+    """Transitions of the drawn strings of all alphabets."""
+    rng, found = random.Random(seed), Counter()
+    for alphabet in ALPHABETS.values():
+        for _ in range(DRAWN):
+            places = [ALPHABET.index(c) for c in rng.choices(alphabet, k=DRAWN_LENGTH)]
+            found.update(a * _SIZE + b for a, b in zip(places, places[1:]))
+    return found
+
+
+def random_strings(fixed: DataFrame) -> dict[int, float]:
+    """Transitions of the drawn strings and of the different values of each fixed kind."""
+    found, part = Counter(drawn()), DRAWN * (DRAWN_LENGTH - 1)
+    for number in range(len(PATTERNS)):
+        own = fixed.filter(F.col("kind") == number).select(F.col("value").alias("token"))
+        counts = _transitions(own.distinct())
+        weight = min(1.0, part / max(sum(counts.values()), 1))
+        for pair, n in counts.items():
+            found[pair] += n * weight
+    return found
+
+
 def identifiers(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Different words without digits of about `sample` documents, picked by a hash of their id."""
     every = max(1, round(docs.count() / sample))
@@ -106,12 +146,12 @@ def identifiers(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return some.select(F.explode(words).alias("token")).distinct()
 
 
-def ratios(random: dict[int, int], ordinary: dict[int, int]) -> list[float] | None:
+def ratios(labelled: dict[int, float], ordinary: dict[int, int]) -> list[float] | None:
     """Log-likelihood ratio of every transition, or None without samples of both kinds."""
-    if not random or not ordinary:
+    if not labelled or not ordinary:
         return None
     tables = []
-    for counts in (random, ordinary):
+    for counts in (labelled, ordinary):
         single = [0.5] * _SIZE
         for pair, n in counts.items():
             single[pair % _SIZE] += n
@@ -146,9 +186,7 @@ def spans(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     found = scanned(docs)
     places = placed(found)
     fixed = places.filter(F.col("kind") < len(PATTERNS))
-    table = ratios(
-        _transitions(fixed.select(F.col("value").alias("token"))), _transitions(identifiers(docs))
-    )
+    table = ratios(random_strings(fixed), _transitions(identifiers(docs)))
     if table is None:
         return found, fixed.drop("value")
     by_start = Window.partitionBy("row").orderBy("start", "kind")
@@ -163,8 +201,8 @@ def spans(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
         after.isNull() | (after >= F.col("end"))
     )
     judged = places.withColumn("apart", apart).filter(is_fixed | F.col("apart"))
-    random = F.when(is_fixed, True).otherwise(mean_ratio(F.col("value"), table) > threshold)
-    return found, judged.filter(random).select("row", "kind", "start", "end")
+    secret = F.when(is_fixed, True).otherwise(mean_ratio(F.col("value"), table) > threshold)
+    return found, judged.filter(secret).select("row", "kind", "start", "end")
 
 
 def report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
