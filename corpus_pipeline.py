@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.exact_dedup import drop_exact_duplicates
 from tidemark.llm.language import keep_identified
 from tidemark.llm.mixing import mix_sources
-from tidemark.llm.near import drop_near_duplicates
 from tidemark.llm.packing import packed
+from tidemark.llm.simhash import drop_near_duplicates
 from tidemark.sources.scratch import materialize, use_local_scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -32,7 +32,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are similar at 0.8 or more."""
+    """One document of each group that fingerprints of 3-word shingles link at 3 bits or fewer."""
     return drop_near_duplicates(docs)
 
 
