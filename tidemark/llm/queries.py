@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.conversations import repaired
 from tidemark.llm.exact_dedup import exact_groups, full_hash
 from tidemark.llm.language import identify
 from tidemark.llm.mixing import mixed
@@ -170,3 +171,99 @@ def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, byte by byte, for a database without it."""
+    codes = f"list_transform(string_split({text}, ''), lambda ch: ord(ch)::BIGINT)"
+    byte = """list_reduce(list_concat([xor(c, b)], range(8)),
+                          lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"""
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def _edit(state: str, cost: str, letter: str, line: str | None) -> str:
+    """A state's cost, letters and lines after one more edit."""
+    lines = f"{state}.t" if line is None else f"list_append({state}.t, {line})"
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {lines}}}"
+
+
+def _inserts(source: str) -> str:
+    """The states after at most one insert."""
+    to_user = ", ".join(_edit(s, "5", "I", "'user:'") for s in ("s0", "s1", "s3"))
+    to_assistant = _edit("s2", "5", "I", "'assistant:'")
+    return (
+        f"SELECT * REPLACE (least(s2, {to_user}) AS s2, least(s3, {to_assistant}) AS s3) FROM ({source})"
+    )
+
+
+_NONE = "{'c': 1000000000, 'a': '', 't': []::VARCHAR[]}"
+_INTO = {1: ("s", "s0"), 2: ("u", "s0 s1 s3"), 3: ("a", "s2")}
+_ROLE = {2: "user", 3: "assistant"}
+
+
+def _after_row(state: int) -> str:
+    """The best way to a state with the next row."""
+    ways = [_edit(f"s{state}", "2", "D", None)]
+    initial, sources = _INTO.get(state, ("", ""))
+    for before in sources.split():
+        kept = _edit(before, "extra", "K", "role || ':' || text")
+        ways.append(f"CASE WHEN NOT must_go AND initial = '{initial}' THEN {kept} ELSE {_NONE} END")
+        if state in _ROLE:
+            other = _edit(before, "1 + extra", "R", f"'{_ROLE[state]}:' || text")
+            ways.append(f"CASE WHEN NOT must_go THEN {other} ELSE {_NONE} END")
+    return f"least({', '.join(ways)}, {_NONE}) AS s{state}"
+
+
+_FATE = _crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")
+_NEXT_ROW = _inserts(
+    _inserts(
+        """SELECT o.g, o.i, s0, s1, s2, s3, role, text, initial, must_go, extra
+           FROM walk w JOIN ordered o ON o.g = w.g AND o.i = w.i + 1"""
+    )
+)
+OP13_SQL = rf"""
+WITH RECURSIVE dealt AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_FATE} % 20 AS fate
+  FROM conversations),
+ids AS (
+  SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS g FROM (SELECT DISTINCT conv_id FROM dealt)),
+damaged AS (
+  SELECT g, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE fate WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM dealt JOIN ids ON dealt.conv_id IS NOT DISTINCT FROM ids.conv_id),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role,
+                               md5(length(role) || ':' || role || text), copy) AS i,
+         left(role, 1) AS initial, regexp_matches(text, '[^\x20\x09-\x0D]') AS solid
+  FROM damaged),
+faults AS (
+  SELECT *, lag(initial) OVER (PARTITION BY g ORDER BY i) || initial AS pair,
+         solid AND row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS again
+  FROM placed),
+ordered AS (
+  SELECT *, NOT solid OR again AS must_go,
+         solid AND NOT again AND NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+         CASE WHEN cut THEN 5 ELSE 0 END AS extra
+  FROM faults),
+walk AS (
+  SELECT g, 0::BIGINT AS i, {{'c': 0, 'a': '', 't': []::VARCHAR[]}} AS s0, {_NONE} AS s1, {_NONE} AS s2,
+         {_NONE} AS s3
+  FROM ids
+  UNION ALL
+  SELECT g, i, {", ".join(map(_after_row, range(4)))} FROM ({_NEXT_ROW})),
+figures AS (
+  SELECT g, count(*) AS n, count(*) FILTER (NOT solid) AS blank, count(*) FILTER (again) AS duplicate,
+         count(*) FILTER (cut) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+         max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps
+  FROM ordered GROUP BY g),
+ends AS (SELECT g, i, least(s0, s3) AS best FROM ({_inserts(_inserts("SELECT * FROM walk"))}))
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.c AS BIGINT) AS cost,
+       best.a AS audit, sha256(array_to_string(best.t, chr(10))) AS repaired_sha256
+FROM ids LEFT JOIN figures USING (g) JOIN ends ON ends.g = ids.g AND ends.i = coalesce(n, 0)"""
+
+
+@query("op13_conversations", OP13_SQL)
+def op13_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    return repaired(table(spark, sf, "conversations"))
