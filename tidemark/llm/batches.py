@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of an Arrow batch, where the session leaves Spark's own number.
 ROWS = 500
@@ -29,6 +30,18 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of this many rows for what is run inside; the session's own number after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def pieces(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = PIECE
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:

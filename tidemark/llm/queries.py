@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.collocations import collocations
 from tidemark.llm.conversations import repaired
 from tidemark.llm.exact_dedup import exact_groups, full_hash
 from tidemark.llm.language import identify
@@ -267,3 +268,46 @@ FROM ids LEFT JOIN figures USING (g) JOIN ends ON ends.g = ids.g AND ends.i = co
 @query("op13_conversations", OP13_SQL)
 def op13_conversations(spark: SparkSession, sf: str) -> DataFrame:
     return repaired(table(spark, sf, "conversations"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+                                        lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+  FROM split, range(1, 5) t(k) WHERE len(w) >= k),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w
+               FROM counts WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT lang, phrase, k, a, unnest(range(1, k)) AS cut, w FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.k, a, cut, l.f AS l, r.f AS r, (2000000 * a::HUGEINT) // (l.f + r.f) AS score
+  FROM cuts c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(w[1 : cut], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1 : c.k], ' ')),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, a, unnest(list_transform(range(1, k - j + 2),
+                                        lambda i: array_to_string(w[i : i + j - 1], ' '))) AS phrase
+  FROM candidates, range(2, 4) t(j) WHERE j < k),
+shadows AS (SELECT lang, phrase, max(a) AS most FROM inside GROUP BY ALL),
+alive AS (
+  SELECT lowest.* FROM lowest LEFT JOIN shadows USING (lang, phrase)
+  WHERE most IS NULL OR 100 * most < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM alive JOIN totals USING (lang) QUALIFY rank <= 2000"""
+
+
+@query("op12_collocations", OP12_SQL)
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations(table(spark, sf, "documents"))
