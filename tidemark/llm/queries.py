@@ -12,6 +12,7 @@ from tidemark.llm.collocations import collocations
 from tidemark.llm.conversations import repaired
 from tidemark.llm.exact_dedup import exact_groups, full_hash
 from tidemark.llm.language import identify
+from tidemark.llm.main_text import extracted
 from tidemark.llm.mixing import mixed
 from tidemark.llm.packing import packed
 from tidemark.llm.quality import judged as quality_judged
@@ -270,6 +271,11 @@ def op13_conversations(spark: SparkSession, sf: str) -> DataFrame:
     return repaired(table(spark, sf, "conversations"))
 
 
+@query("op11_main_text")
+def op11_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extracted(table(spark, sf, "pages"))
+
+
 OP12_SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
