@@ -23,7 +23,7 @@ from suite.registry import query, table
 from tidemark.operators import upsert as up
 from tidemark.operators.quality import timestamp_inconsistencies
 from tidemark.plans.load import load_table
-from tidemark.sources import logs, snapshots
+from tidemark.sources import logs, target
 from tidemark.sources.scratch import scratch_path
 from tidemark.spec import TableSpec
 
@@ -144,7 +144,7 @@ def _load_twice(spark, sf, second_mode, part=None, **options):
 
 
 def _orders(spark, root):
-    return snapshots.read_current(spark, f"{root}/tables/orders")
+    return target.read_current(spark, f"{root}/tables/orders")
 
 
 @query("load_incremental", f"SELECT {_TYPED} FROM ({_MERGED_SQL}) m")

@@ -201,6 +201,27 @@ def dq_run_all(spark, sf):
     return _shown(dq.run_all_checks(customer_gaps(spark, sf), RULES))
 
 
+# Three uniqueness rules, one of them over long texts, in one scan and one shuffle.
+_UNIQUE_SETS = {"unique_doc_id": ["doc_id"], "unique_text": ["text"], "unique_source_n_chars": ["source", "n_chars"]}
+
+
+@query(
+    "dq_unique_sets",
+    " UNION ALL ".join(
+        _row(
+            name,
+            "critical",
+            _REPEATED,
+            f"(SELECT count(*) AS cnt FROM documents GROUP BY {', '.join(columns)}) k",
+            "sum(cnt)",
+        )
+        for name, columns in _UNIQUE_SETS.items()
+    ),
+)
+def dq_unique_sets(spark, sf):
+    return _shown(dq.check_unique_sets(table(spark, sf, "documents"), _UNIQUE_SETS))
+
+
 @query(
     "dq_summary",
     f"""SELECT 'customer' AS table_name, count(*) AS total_checks, count(*) FILTER (passed) AS passed,
@@ -278,6 +299,32 @@ def column_profile_documents(spark, sf):
     return prof.column_profile(table(spark, sf, "documents"))
 
 
+# The sketches of two batches are merged; the estimate lies within its bound of the exact figure.
+@query(
+    "profile_merged_sketches",
+    f"""SELECT column_name, ordinal, data_type, total_rows, null_count, empty_count, empty_pct,
+               true AS distinct_within_bound FROM ({_PROFILE_SQL}) p""",
+)
+def profile_merged_sketches(spark, sf):
+    rows = sparse_lineitem(spark, sf)
+    early = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    batches = [prof.sketch_columns(rows.filter(early)), prof.sketch_columns(rows.filter(~early))]
+    merged = prof.profile_of_sketches(batches[0].unionByName(batches[1]))
+    exact = prof.column_profile(rows).select("column_name", F.col("distinct_count").alias("exact"))
+    off = F.abs(F.col("distinct_count") - F.col("exact"))
+    within = off <= F.ceil(4 * prof.SKETCH_ERROR * F.col("exact"))
+    return merged.join(exact, "column_name").select(
+        "column_name",
+        "ordinal",
+        "data_type",
+        "total_rows",
+        "null_count",
+        "empty_count",
+        "empty_pct",
+        within.alias("distinct_within_bound"),
+    )
+
+
 @query("profile_exclusions", _ADVICE_SQL)
 def profile_exclusions(spark, sf):
     return prof.with_advice(prof.column_profile(sparse_lineitem(spark, sf)))

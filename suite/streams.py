@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.inputs import RUN_LOG_SQL, run_log
+from suite.inputs import EVENT_TEXT_SQL, RUN_LOG_SQL, event_text, run_log
 from suite.registry import query, table
 from tidemark.functions.hashing import row_hash
-from tidemark.sources import snapshots
+from tidemark.sources import logs, target
 from tidemark.sources.scratch import scratch_path
 from tidemark.spec import ColumnSpec, TableSpec
 from tidemark.streaming import jobs
@@ -49,7 +49,7 @@ def stream_upsert_batches(spark, sf):
     root = scratch_path(spark, "stream-batches")
     stream = _landed(spark, sf)
     jobs.upsert_stream(stream, USERS, USER_COLUMNS, root, f"{root}/checkpoint").awaitTermination()
-    rows = snapshots.read_current(spark, f"{root}/tables/users")
+    rows = target.read_current(spark, f"{root}/tables/users")
     return rows.select("user_id", "event_type", "ts", "value")
 
 
@@ -63,10 +63,96 @@ def stream_upsert(spark, sf):
     root = scratch_path(spark, "stream-upsert")
     stream = _events(spark, sf)
     jobs.upsert_stream(stream, USERS, USER_COLUMNS, root, f"{root}/checkpoint").awaitTermination()
-    rows = snapshots.read_current(spark, f"{root}/tables/users")
+    rows = target.read_current(spark, f"{root}/tables/users")
     return rows.select("user_id", "event_type", "ts", "value")
 
 
+# Events as text with bad values, and errors of odd users without a key, in several files.
+_REJECT_SQL = f"""
+WITH source AS (
+  SELECT t.* REPLACE (CASE WHEN e.event_type = 'error' AND e.user_id % 2 = 1 THEN NULL
+                           ELSE t.event_id END AS event_id), e.event_id AS id, e.ts
+  FROM ({EVENT_TEXT_SQL}) t JOIN events e ON t.event_id = e.event_id),
+judged AS (
+  SELECT *, list_filter([
+              CASE WHEN event_id IS NULL THEN 'event_id: missing key' END,
+              CASE WHEN flag_text = 'maybe' THEN 'flag_text: not a valid bit' END,
+              CASE WHEN number_text LIKE 'v%' THEN 'number_text: not a valid bigint' END],
+              lambda r: r IS NOT NULL) AS reasons
+  FROM source)"""
+REJECTING = TableSpec("texts", ("event_id",), modified_col="ts")
+REJECTING_COLUMNS = [
+    ColumnSpec("event_id", "bigint"),
+    ColumnSpec("flag_text", "bit"),
+    ColumnSpec("number_text", "bigint"),
+    ColumnSpec("ts", "datetime"),
+]
+
+
+def _rejecting(spark, sf):
+    """The root of a table after a stream over files with bad values and missing keys."""
+    root, folder = scratch_path(spark, "stream-rejects"), scratch_path(spark, "landed-texts")
+    events = table(spark, sf, "events").select("event_id", "event_type", "user_id", "ts")
+    lost = (F.col("event_type") == "error") & (F.col("user_id") % 2 == 1)
+    texts = event_text(spark, sf).join(events, "event_id").select(
+        F.when(~lost, F.col("event_id")).alias("event_id"), "flag_text", "number_text", "date_text", "ts"
+    )
+    for half in (F.dayofmonth("ts") <= 15, F.dayofmonth("ts") > 15):
+        texts.filter(half).coalesce(1).write.mode("append").parquet(folder)
+    stream = jobs.read_files(spark, folder, texts.schema, files_per_batch=1)
+    columns = [*REJECTING_COLUMNS, ColumnSpec("date_text", "datetime")]
+    jobs.upsert_stream(stream, REJECTING, columns, root, f"{root}/checkpoint").awaitTermination()
+    return root
+
+
+@query(
+    "stream_rejects_published",
+    f"""{_REJECT_SQL}
+        SELECT event_id, CASE WHEN flag_text IN ('True', '1') THEN true WHEN flag_text = '0' THEN false
+                         END AS flag_text,
+               TRY_CAST(nullif(number_text, 'nan') AS BIGINT) AS number_text,
+               TRY_CAST(date_text AS TIMESTAMP) AS date_text, ts
+        FROM judged WHERE len(reasons) = 0""",
+)
+def stream_rejects_published(spark, sf):
+    rows = target.read_current(spark, f"{_rejecting(spark, sf)}/tables/texts")
+    return rows.select("event_id", "flag_text", "number_text", "date_text", "ts")
+
+
+# The row as it came can be read back with its reasons.
+@query(
+    "stream_rejects_quarantined",
+    f"""{_REJECT_SQL}
+        SELECT event_id, flag_text, number_text, date_text, ts, array_to_string(reasons, '; ') AS reasons
+        FROM judged WHERE len(reasons) > 0""",
+)
+def stream_rejects_quarantined(spark, sf):
+    schema = "event_id bigint, flag_text string, number_text string, date_text string, ts timestamp_ntz"
+    rows = jobs.read_quarantine(spark, _rejecting(spark, sf), "texts", schema)
+    return rows.select("row.*", F.concat_ws("; ", "reasons").alias("reasons"))
+
+
+@query(
+    "stream_rejects_logged",
+    f"""{_REJECT_SQL},
+        batches AS (SELECT *, dayofmonth(ts) <= 15 AS early FROM judged),
+        counts AS (
+          SELECT early, count(*) AS n, count(*) FILTER (len(reasons) > 0) AS aside,
+                 count(*) FILTER (flag_text = 'maybe') AS flags,
+                 count(*) FILTER (number_text LIKE 'v%') AS numbers,
+                 count(*) FILTER (date_text IN ('not a date', '2024-13-45')) AS dates
+          FROM batches GROUP BY early)
+        SELECT 'rows_processed' AS metric_name, '{{"table":"texts"}}' AS tags, n::DOUBLE AS metric_value FROM counts
+        UNION ALL SELECT 'quarantined_rows', '{{"table":"texts"}}', aside FROM counts
+        UNION ALL SELECT 'rejected_values', '{{"column":"flag_text","table":"texts"}}', flags FROM counts WHERE flags > 0
+        UNION ALL SELECT 'rejected_values', '{{"column":"number_text","table":"texts"}}', numbers FROM counts WHERE numbers > 0
+        UNION ALL SELECT 'rejected_values', '{{"column":"date_text","table":"texts"}}', dates FROM counts WHERE dates > 0""",
+)
+def stream_rejects_logged(spark, sf):
+    log = logs.read_log(spark, f"{_rejecting(spark, sf)}/logs", logs.METRICS)
+    return log.select("metric_name", "tags", "metric_value")
+
+
 # Every event arrives twice, as after a lookback.
 @query("stream_dedup", "SELECT event_id, ts, user_id, value FROM events")
 def stream_dedup(spark, sf):

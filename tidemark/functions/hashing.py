@@ -83,3 +83,22 @@ def row_hash(df: DataFrame, columns: Sequence[str] | None = None, strict: bool =
             text = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
         parts.append(F.coalesce(text, F.lit("\\N" if strict else NULL_TEXT)))
     return F.sha1(F.concat_ws("|", *parts))
+
+
+# Starts the second half of a digest, so that the halves are independent.
+_SECOND = 0x5DEECE66D
+
+
+def digest(df: DataFrame, columns: Sequence[str]) -> tuple[Column, Column]:
+    """128 bits in two halves that stand for the values of `columns` in groupings and shuffles.
+
+    Of fixed width whatever the values. NULL equals NULL and nothing else; numbers that compare as
+    equal have one digest. Values that have no order of their own go by their JSON text.
+    """
+    parts: list[Column] = []
+    for name in columns:
+        col = F.col(f"`{name}`")
+        if isinstance(df.schema[name].dataType, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+            col = F.to_json(F.struct(col))
+        parts += [col.isNull(), col]
+    return F.xxhash64(*parts), F.xxhash64(F.lit(_SECOND), *parts)

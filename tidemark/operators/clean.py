@@ -43,9 +43,14 @@ def normalize(df: DataFrame) -> DataFrame:
 
 
 def add_technical_columns(
-    df: DataFrame, spec: TableSpec, load_ts: datetime, strict_hash: bool = False
+    df: DataFrame,
+    spec: TableSpec,
+    load_ts: datetime,
+    strict_hash: bool = False,
+    beside: Sequence[str] = (),
 ) -> DataFrame:
-    """Add the row hash, the source timestamp and the one load instant of the batch."""
+    """Add the row hash (not over columns of `beside`), the source timestamp and the one load
+    instant of the batch."""
     modified = safe_name(spec.modified_col) if spec.is_incremental else None
     if modified in df.columns:
         ts_source = F.col(f"`{modified}`").try_cast("timestamp_ntz")
@@ -53,7 +58,7 @@ def add_technical_columns(
         ts_source = F.lit(None).cast("timestamp_ntz")
     return df.select(
         "*",
-        row_hash(df, strict=strict_hash).alias("hashdiff"),
+        row_hash(df.drop(*beside), strict=strict_hash).alias("hashdiff"),
         ts_source.alias("ts_source"),
         at(load_ts).alias("load_ts"),
     )
@@ -69,8 +74,9 @@ def typed_select(
     columns: Sequence[ColumnSpec],
     strict: bool = False,
     formats: tuple[str, ...] = (),
+    beside: Sequence[str] = (),
 ) -> DataFrame:
-    """Bring the declared columns to their types; technical columns pass through."""
+    """Bring the declared columns to their types; technical columns and `beside` pass through."""
     out = [
         coerce(F.col(f"`{c.sql_name}`"), df.schema[c.sql_name].dataType, c, strict, formats).alias(
             c.sql_name
@@ -78,7 +84,7 @@ def typed_select(
         for c in columns
         if c.sql_name in df.columns
     ]
-    return df.select(*out, *(c for c in TECHNICAL_COLUMNS if c in df.columns))
+    return df.select(*out, *(c for c in (*TECHNICAL_COLUMNS, *beside) if c in df.columns))
 
 
 def reject_counts(df: DataFrame, columns: Sequence[ColumnSpec]) -> list[Column]:
@@ -90,6 +96,23 @@ def reject_counts(df: DataFrame, columns: Sequence[ColumnSpec]) -> list[Column]:
     ]
 
 
+def reject_reasons(df: DataFrame, columns: Sequence[ColumnSpec], keys: Sequence[str]) -> Column:
+    """Why a row can't be loaded, as `column: reason`: missing values in the key, and present values
+    that are no valid number or bit. Dates that are none become NULL, as in a load."""
+    reasons = []
+    for c in columns:
+        if c.sql_name not in df.columns:
+            continue
+        col, kind = F.col(f"`{c.sql_name}`"), df.schema[c.sql_name].dataType
+        if c.sql_name in keys:
+            lost = coerce(col, kind, c).isNull() & ~is_bad(col, kind, c)
+            reasons.append(F.when(lost, F.lit(f"{c.sql_name}: missing key")))
+        if c.data_type.lower() not in ("date", "datetime") or c.sql_name in keys:
+            what = F.lit(f"{c.sql_name}: not a valid {c.data_type.lower()}")
+            reasons.append(F.when(is_bad(col, kind, c), what))
+    return F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+
+
 def bad_values(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     """Per column the number of present values that do not fit their type, in one scan."""
     known = [c for c in columns if c.sql_name in df.columns]

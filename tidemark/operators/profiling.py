@@ -10,27 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.hashing import digest
 from tidemark.functions.measures import days_since, ratio, rounded
 from tidemark.operators.clean import TECHNICAL_COLUMNS
 
 # Columns unpivoted together: bounds the size of the generated code on wide tables.
 CHUNK = 64
 
-_FAMILIES: tuple[tuple[type[T.DataType] | tuple[type[T.DataType], ...], str], ...] = (
-    (T.StringType, "string"),
-    ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), "bigint"),
-    ((T.FloatType, T.DoubleType), "double"),
-)
-
-
-def _common_type(data_type: T.DataType) -> str:
-    """Type under which columns are counted together, without losing a distinction."""
-    for kinds, name in _FAMILIES:
-        if isinstance(data_type, kinds):
-            return name
-    return data_type.simpleString()
-
-
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -39,40 +25,48 @@ def _profiled(df: DataFrame) -> list[T.StructField]:
     return [f for f in df.schema if f.name not in TECHNICAL_COLUMNS]
 
 
-def _value_counts(df: DataFrame, fields: Sequence[T.StructField], common: str) -> DataFrame:
-    """Rows per (column, value) for columns of one family, in one scan and one shuffle.
+# What a cell is, beside the digest of its value.
+_NULL, _BLANK, _VALUE = 0, 1, 2
 
-    The values keep their type, so grouping stays on plain keys; a value that fills a large part
-    of a column is reduced to one row per task before the shuffle.
-    """
-    names = {f.name: str(i) for i, f in enumerate(fields)}
-    typed = df.select(*(_q(f.name).cast(common).alias(names[f.name]) for f in fields))
-    ids = [f"`{i}`" for i in names.values()]
-    counts = typed.unpivot([], ids, "id", "value").groupBy("id", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    label = F.element_at(F.array(*(F.lit(f.name) for f in fields)), F.col("id").cast("int") + 1)
-    return counts.select(label.alias("column_name"), "value", "n")
+
+def _kind(field: T.StructField) -> Column:
+    col = _q(field.name)
+    kind = F.when(col.isNull(), _NULL)
+    if isinstance(field.dataType, T.StringType):
+        kind = kind.when(F.trim(col) == "", _BLANK)
+    return kind.otherwise(_VALUE).cast("tinyint")
 
 
 def _exact_counts(df: DataFrame) -> DataFrame:
-    families: dict[str, list[T.StructField]] = {}
-    for field in _profiled(df):
-        families.setdefault(_common_type(field.dataType), []).append(field)
+    """Per column its rows, NULLs, blanks and distinct values, in one scan and one shuffle of cells.
+
+    A cell is the number of its column, its kind and a digest of fixed width, so no text is ever
+    shuffled; a value that fills a large part of a column is reduced to one row per task before.
+    """
+    fields = _profiled(df)
     parts = []
-    for common, fields in families.items():
-        for start in range(0, len(fields), CHUNK):
-            counts = _value_counts(df, fields[start : start + CHUNK], common)
-            blank = F.trim("value") == "" if common == "string" else F.lit(False)
-            parts.append(
-                counts.groupBy("column_name").agg(
-                    F.sum("n").alias("total_rows"),
-                    F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
-                    F.sum(F.when(blank, F.col("n")).otherwise(0)).alias("empty_count"),
-                    F.count("value").alias("distinct_count"),
-                )
-            )
-    return reduce(DataFrame.unionByName, parts)
+    for start in range(0, len(fields), CHUNK):
+        cells = []
+        for place, field in enumerate(fields[start : start + CHUNK], start):
+            first, second = digest(df, [field.name])
+            cell = (F.lit(place).alias("id"), _kind(field).alias("kind"), first.alias("d1"), second.alias("d2"))
+            cells.append(F.struct(*cell))
+        parts.append(df.select(F.inline(F.array(*cells))))
+    counts = reduce(DataFrame.unionByName, parts).groupBy("id", "kind", "d1", "d2").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    label = F.element_at(F.array(*(F.lit(f.name) for f in fields)), F.col("id") + 1)
+    return (
+        counts.groupBy("id")
+        .agg(
+            F.sum("n").alias("total_rows"),
+            F.sum(F.when(F.col("kind") == _NULL, F.col("n")).otherwise(0)).alias("null_count"),
+            F.sum(F.when(F.col("kind") == _BLANK, F.col("n")).otherwise(0)).alias("empty_count"),
+            F.count_if(F.col("kind") != _NULL).alias("distinct_count"),
+        )
+        .withColumn("column_name", label)
+        .drop("id")
+    )
 
 
 def _approximate_counts(df: DataFrame, rsd: float) -> DataFrame:
@@ -97,6 +91,58 @@ def _approximate_counts(df: DataFrame, rsd: float) -> DataFrame:
     return listed.select("column_name", "c.*").filter("total_rows > 0")
 
 
+# Sketches of 2**SKETCH_BITS registers: a relative standard error of 0.65% at any size.
+SKETCH_BITS = 14
+SKETCH_ERROR = 0.83 / 2 ** (SKETCH_BITS / 2)
+
+
+def sketch_columns(df: DataFrame) -> DataFrame:
+    """One row per column that can be merged with those of other batches: rows, NULLs, blanks and a
+    sketch of the distinct values, in one scan without a shuffle of the data."""
+    fields = _profiled(df)
+    row = df.agg(
+        *(
+            F.struct(
+                F.count(F.lit(1)).alias("total_rows"),
+                F.count_if(_kind(f) == _NULL).alias("null_count"),
+                F.count_if(_kind(f) == _BLANK).alias("empty_count"),
+                F.hll_sketch_agg(
+                    F.when(_q(f.name).isNotNull(), digest(df, [f.name])[0]), F.lit(SKETCH_BITS)
+                ).alias("sketch"),
+            ).alias(str(i))
+            for i, f in enumerate(fields)
+        )
+    )
+    listed = row.unpivot([], [f"`{i}`" for i in range(len(fields))], "place", "c")
+    place = F.col("place").cast("int") + 1
+    names = F.array(*(F.lit(f.name) for f in fields))
+    types = F.array(*(F.lit(f.dataType.simpleString()) for f in fields))
+    return listed.select(
+        F.element_at(names, place).alias("column_name"),
+        place.alias("ordinal"),
+        F.element_at(types, place).alias("data_type"),
+        "c.*",
+    )
+
+
+def profile_of_sketches(sketches: DataFrame) -> DataFrame:
+    """The profile of all batches whose sketches are given, without reading their rows again.
+
+    As `column_profile`, with distinct values estimated (`SKETCH_ERROR`); a column takes its type
+    and place from the latest batch by `sketch_ts` where there is such a column.
+    """
+    last = "sketch_ts" if "sketch_ts" in sketches.columns else "total_rows"
+    merged = sketches.groupBy("column_name").agg(
+        F.max_by("ordinal", last).alias("ordinal"),
+        F.max_by("data_type", last).alias("data_type"),
+        F.sum("total_rows").alias("total_rows"),
+        F.sum("null_count").alias("null_count"),
+        F.sum("empty_count").alias("empty_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_count"),
+    )
+    return _described(merged.filter("total_rows > 0"))
+
+
 def column_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.01) -> DataFrame:
     """One row per column: rows, NULLs, blank texts, their share, distinct values and their ratio.
 
@@ -107,11 +153,18 @@ def column_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.01)
     counts = _approximate_counts(df, rsd) if approximate else _exact_counts(df)
     types = F.create_map(*(F.lit(x) for f in fields for x in (f.name, f.dataType.simpleString())))
     places = F.create_map(*(F.lit(x) for i, f in enumerate(fields, 1) for x in (f.name, i)))
+    named = counts.withColumns(
+        {"ordinal": places[F.col("column_name")], "data_type": types[F.col("column_name")]}
+    )
+    return _described(named)
+
+
+def _described(counts: DataFrame) -> DataFrame:
     empty_total = F.col("null_count") + F.col("empty_count")
     return counts.select(
         "column_name",
-        places[F.col("column_name")].alias("ordinal"),
-        types[F.col("column_name")].alias("data_type"),
+        "ordinal",
+        "data_type",
         "total_rows",
         "null_count",
         "empty_count",

@@ -1,6 +1,7 @@
 """Data-quality checks. Every check is an aggregate that yields one result row.
 
-A rule set is checked in one scan for all row-wise rules plus one grouping per uniqueness rule.
+A rule set is checked in one scan for all row-wise rules plus one scan and one shuffle of digests for
+all uniqueness rules.
 """
 
 from __future__ import annotations
@@ -12,11 +13,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.hashing import digest
 from tidemark.functions.measures import ratio
 
 CRITICAL = "critical"
 WARNING = "warning"
-# Keys of a rule file.
+# Keys of a rule file. Those of the details of a result row, below, are fixed as well
+# (columns, column, pattern, min_expected, max_expected, actual_min, actual_max, fill_rate,
+# worst_columns, null_rate): existing logs have them.
 RULE_KEYS = ("not_null", "unique", "ranges", "patterns", "min_fill_rate")
 RESULT_COLUMNS = (
     "check_name",
@@ -204,13 +208,40 @@ def check_completeness(
 
 def check_uniqueness(df: DataFrame, columns: Sequence[str], severity=CRITICAL, name="uniqueness") -> DataFrame:
     """All rows of keys that occur more than once; NULLs count as equal."""
-    counts = df.groupBy(*map(_q, columns)).agg(F.count(F.lit(1)).alias("cnt"))
-    totals = counts.agg(
-        F.coalesce(F.sum(F.when(F.col("cnt") > 1, F.col("cnt"))), F.lit(0)).alias("failed"),
-        F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"),
+    return check_unique_sets(df, {name: columns}, severity)
+
+
+def check_unique_sets(df: DataFrame, keys: Mapping[str, Sequence[str]], severity=CRITICAL) -> DataFrame:
+    """A result row per named set of columns, from one scan and one shuffle for all of them.
+
+    Rows are unpivoted to (rule, digest of the key): fixed width whatever the values, counted per
+    task before the shuffle, so a key that fills the table is one row per task.
+    """
+    names = list(keys)
+    cells = []
+    for place, name in enumerate(names):
+        first, second = digest(df, keys[name])
+        cells.append(F.struct(F.lit(place).alias("rule"), first.alias("d1"), second.alias("d2")))
+    counts = (
+        df.select(F.inline(F.array(*cells)))
+        .groupBy("rule", "d1", "d2")
+        .agg(F.count(F.lit(1)).alias("cnt"))
     )
-    details = F.to_json(F.struct(F.array(*map(F.lit, columns)).alias("columns")))
-    return _rows(totals, [_result(name, severity, F.col("failed"), F.col("n"), details)])
+    figures = counts.groupBy("rule").agg(
+        F.sum(F.when(F.col("cnt") > 1, F.col("cnt")).otherwise(0)).alias("failed"),
+        F.sum("cnt").alias("n"),
+    )
+    # One row, so that an empty table has its result rows too.
+    by_rule = figures.agg(
+        F.map_from_entries(F.collect_list(F.struct("rule", F.struct("failed", "n")))).alias("by_rule")
+    )
+    results = []
+    for place, name in enumerate(names):
+        found = F.col("by_rule")[place]
+        failed, total = (F.coalesce(found[c], F.lit(0)).cast("bigint") for c in ("failed", "n"))
+        details = F.to_json(F.struct(F.array(*map(F.lit, keys[name])).alias("columns")))
+        results.append(_result(name, severity, failed, total, details))
+    return _rows(by_rule, results)
 
 
 def worst_columns(df: DataFrame, n: int = 5) -> DataFrame:
@@ -297,10 +328,8 @@ def run_all_checks(df: DataFrame, rules: Mapping) -> DataFrame:
     if "min_fill_rate" in rules:
         fused.completeness(rules["min_fill_rate"], WARNING, "completeness")
     parts = [fused.rows()] if fused.results else []
-    parts += [
-        check_uniqueness(df, keys, CRITICAL, "unique_" + "_".join(keys))
-        for keys in rules.get("unique", ())
-    ]
+    if rules.get("unique"):
+        parts.append(check_unique_sets(df, {"unique_" + "_".join(keys): keys for keys in rules["unique"]}))
     if not parts:
         raise ValueError("the rule set holds no rule")
     return reduce(DataFrame.unionByName, parts)

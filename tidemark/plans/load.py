@@ -15,12 +15,12 @@ from tidemark.operators import clean, quality, runlog, upsert
 from tidemark.plans.profile import profile_table
 from tidemark.plans.run import RunLog
 from tidemark.sources import extract as ex
-from tidemark.sources import logs, snapshots, stage
+from tidemark.sources import logs, stage, target
 from tidemark.spec import ColumnSpec, TableSpec, included
 
 
 # Step, stage and metric names below are fixed values: the vocabulary of the logs.
-_WAS_PART = f"was_{snapshots.PART}"
+_WAS_PART = f"was_{target.PART}"
 
 
 @dataclass(frozen=True)
@@ -43,72 +43,106 @@ def prepare(
     load_ts: datetime,
     strict: bool = False,
     rejected: Observation | None = None,
+    beside: Sequence[str] = (),
 ) -> DataFrame:
     """Extracted rows made ready to load: stripped, hashed, stamped and typed.
 
     The hash covers the stripped values before typing, so a value cut to its length still counts
-    as changed. `rejected` counts, on the way, the values that do not fit, by column.
+    as changed. `rejected` counts, on the way, the values that do not fit, by column. Columns of
+    `beside` pass through and are no part of the row.
     """
-    stamped = clean.add_technical_columns(clean.normalize(rows), spec, load_ts)
+    stamped = clean.add_technical_columns(clean.normalize(rows), spec, load_ts, beside=beside)
     if rejected is not None:
         stamped = stamped.observe(rejected, *clean.reject_counts(stamped, included(columns)))
-    return clean.typed_select(stamped, included(columns), strict)
+    return clean.typed_select(stamped, included(columns), strict, beside=beside)
 
 
 def publish_batch(
     batch: DataFrame,
     spec: TableSpec,
     root: str,
+    n_rows: int,
     mode: str = ex.INCREMENTAL,
     source_batch: tuple[str, int] | None = None,
-) -> tuple[int, snapshots.Version]:
-    """Bring a batch (unique keys, already written to a stage) into the published table.
+) -> tuple[int, target.Target]:
+    """Bring a batch (`n_rows` rows of unique keys, already written to a stage) into the table.
 
-    Rewrites only the parts that hold a changed row, before or after the change.
+    Reads only the parts that the batch can touch where a key has one part for good, and rewrites
+    only the parts that hold a changed row, before or after the change. Rows are counted by the
+    writes themselves.
     """
     spark = batch.sparkSession
     keys = list(spec.primary_key)
-    before = snapshots.current(spark, root)
+    before = target.current(spark, root)
     if before is None or mode == ex.FULL:
-        seen = Observation()
-        rows = snapshots.with_part(batch, spec.part_expr)
-        counted = _by_part(rows).observe(seen, F.count(F.lit(1)).alias("n"))
-        version = snapshots.publish(counted, root, before, None, source_batch, True)
-        return seen.get["n"], version
-    target = snapshots.read(spark, root, before)
+        part_expr = spec.part_expr(n_rows)
+        rows = _by_part(target.with_part(batch, part_expr))
+        return target.publish(rows, root, part_expr, before, None, source_batch)
+    before = target.settle(spark, root, before)
     loaded = clean.in_target_order(batch, before.schema.names)
-    found = upsert.changed_rows(loaded, target, keys, carry=[snapshots.PART])
+    found = changed_rows(loaded, spec, root, before)
     path = f"{root.rstrip('/')}/changes"
-    n_changed = stage.write_stage(found, path, spec.name, "changed")
+    seen = Observation()
+    counted = found.observe(
+        seen,
+        F.count(F.lit(1)).alias("n"),
+        F.collect_set(_WAS_PART).alias("was"),
+        F.collect_set(target.PART).alias("becomes"),
+    )
+    stage.write_stage(counted, path, spec.name, "changed")
+    n_changed = seen.get["n"]
     if n_changed == 0:
         return 0, before
+    touched = None
+    if _names_part(loaded, before):
+        touched = target.few_parts([*seen.get["was"], *seen.get["becomes"]])
     changed = stage.read_stage(spark, path, spec.name, "changed")
-    touched = _touched_parts(changed, spec, before.schema.names)
-    old = snapshots.read(spark, root, before, touched).drop(snapshots.PART)
-    merged = upsert.replace_rows(old, changed.drop(_WAS_PART), keys)
-    rows = _by_part(snapshots.with_part(merged, spec.part_expr))
-    return n_changed, snapshots.publish(rows, root, before, touched, source_batch, True)
+    old = target.read(spark, root, before, touched).drop(target.PART)
+    merged = upsert.replace_rows(old, changed.drop(_WAS_PART, target.PART), keys)
+    rows = _by_part(target.with_part(merged, before.part_expr))
+    _, after = target.publish(rows, root, before.part_expr, before, touched, source_batch)
+    return n_changed, after
 
 
-def _touched_parts(
-    changed: DataFrame, spec: TableSpec, target_columns: Sequence[str]
-) -> set[str] | None:
-    """Parts that hold a changed row now or get one: a row may move to another part.
+def changed_rows(
+    loaded: DataFrame, spec: TableSpec, root: str, before: target.Target
+) -> DataFrame:
+    """Rows that are new or differ, with the part they were in and the one they get (NULL where the
+    batch lacks a column that tells)."""
+    keys = list(spec.primary_key)
+    if _names_part(loaded, before):
+        placed = target.with_part(loaded, before.part_expr)
+    else:
+        placed = loaded.withColumn(target.PART, F.lit(None).cast("string"))
+    known = published_beside(loaded, spec, root, before)
+    return upsert.changed_rows(placed, known, keys, [target.PART])
 
-    None (all parts) when the batch lacks a column that the part expression names.
-    """
-    named = [c for c in target_columns if re.search(rf"(?<!\w){re.escape(c)}(?!\w)", spec.part_expr)]
-    if any(c not in changed.columns for c in named):
-        return None
-    becomes = snapshots.with_part(changed, spec.part_expr).select(snapshots.PART)
-    was = changed.filter(F.col(_WAS_PART).isNotNull()).select(F.col(_WAS_PART).alias(snapshots.PART))
-    return snapshots.part_names(was.unionByName(becomes))
+
+def published_beside(
+    batch: DataFrame, spec: TableSpec, root: str, before: target.Target
+) -> DataFrame:
+    """The published rows of the parts that can hold a key of the batch; of all parts where a key
+    may change its part."""
+    parts = None
+    if spec.parts_follow_key and _names_part(batch, before):
+        named = target.with_part(batch, before.part_expr).select(target.PART)
+        found = named.distinct().limit(target.MAX_PARTS + 1).collect()
+        parts = target.few_parts([r[target.PART] for r in found])
+    return target.read(batch.sparkSession, root, before, parts)
+
+
+def _names_part(rows: DataFrame, before: target.Target) -> bool:
+    """Whether the rows have all columns that the part follows from; a profile may rule one out."""
+    named = [
+        c for c in before.schema.names if re.search(rf"(?<!\w){re.escape(c)}(?!\w)", before.part_expr)
+    ]
+    return all(c in rows.columns for c in named)
 
 
 def _by_part(rows: DataFrame) -> DataFrame:
     """Bring the rows of a part together so that it is written in few files; a part that holds
     much of the table is spread over several tasks."""
-    return rows.hint("rebalance", F.col(snapshots.PART))
+    return rows.hint("rebalance", F.col(target.PART))
 
 
 def resumed(spark: SparkSession, spec: TableSpec, log_root: str) -> TableSpec:
@@ -170,7 +204,7 @@ def load_table(
             info["rows"] = n_rows
         batch = stage.read_stage(spark, stage_root, spec.name, stage.STAGING)
         log.metric("rows_processed", n_rows, "count")
-        _log_rejects(log, rejected.get, columns, strict)
+        log_rejects(log, rejected.get, columns, strict)
         with log.timed("quality"):
             upsert.require_keys(batch, spec.primary_key)
             if rules:
@@ -179,13 +213,13 @@ def load_table(
                 quality.gate(results)
         excluded = _profiled(batch, spec, root, load_ts, log) if profile else ()
         with log.timed("merge_ods") as info:
-            n_changed, version = publish_batch(batch, spec, target_root, mode)
+            n_changed, state = publish_batch(batch, spec, target_root, n_rows, mode)
             info["rows"] = n_changed
         total = log.finish("success", n_rows)
         log.metric("total_duration", total, "histogram")
         log.metric("throughput", n_rows / total if total else 0, "gauge")
         log.metric("etl_success", 1, "count")
-        return LoadResult(log.run_id, n_rows, n_changed, version.number, excluded)
+        return LoadResult(log.run_id, n_rows, n_changed, state.version, excluded)
     except Exception as error:
         log.metric("etl_failed", 1, "count")
         log.finish("failed", None, str(error))
@@ -194,7 +228,7 @@ def load_table(
         log.save(spark, log_root)
 
 
-def _log_rejects(
+def log_rejects(
     log: RunLog, counts: Mapping[str, int], columns: Sequence[ColumnSpec], strict: bool
 ) -> None:
     """Log how many values of each column do not fit, and stop a strict load."""

@@ -1 +1 @@
-"""Reading sources, stage tables, snapshots and logs."""
+"""Reading sources, stage tables, published tables and logs."""

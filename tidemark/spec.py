@@ -9,6 +9,11 @@ from datetime import datetime, timedelta
 
 from tidemark.functions.text import safe_name
 
+# Rows that a bucket of the first load holds, and the fewest and most buckets chosen for a table.
+BUCKET_ROWS = 500_000
+LEAST_BUCKETS = 8
+MAX_BUCKETS = 8_192
+
 _LOOKBACK_UNITS = {"d": "days", "h": "hours", "m": "minutes"}
 
 
@@ -46,6 +51,7 @@ class ColumnSpec:
     def expression(self) -> str:
         return self.source_expr or f"`{self.name}`"
 
+    # Fixed values in both `from_row`: the column names of catalogue and registry.
     @classmethod
     def from_row(cls, row: Mapping) -> ColumnSpec:
         """From a catalogue row (`ColumnName`, `DataType`, `Width`, `Scale`, `NullFlag`, ...)."""
@@ -78,7 +84,11 @@ class TableSpec:
     precision: str = "datetime"
     lookback: str | None = None
     partition_expr: str | None = None
-    buckets: int = 8
+    #: A key never changes its part although `partition_expr` names other columns than the key
+    #: (such as the day a row was created): a load then looks only into the parts of its batch.
+    stable_parts: bool = False
+    #: Buckets of the key where no expression is given; None: by the rows of the first load.
+    buckets: int | None = None
 
     @classmethod
     def from_row(cls, row: Mapping) -> TableSpec:
@@ -100,12 +110,20 @@ class TableSpec:
             lookback=optional("LookbackInterval"),
         )
 
-    @property
-    def part_expr(self) -> str:
-        """What a row's part follows from: the declared expression, else a bucket of the key. Choose
-        `buckets` so that a bucket is what a load may rewrite for one changed row."""
+    def part_expr(self, rows: int) -> str:
+        """What a row's part follows from, for a table of so many rows: the declared expression,
+        else a bucket of the key. A changed row costs the rewriting of its part, so a bucket is to
+        hold about BUCKET_ROWS rows. The table keeps the expression of its first load."""
+        if self.partition_expr:
+            return self.partition_expr
         keys = ", ".join(f"`{k}`" for k in self.primary_key)
-        return self.partition_expr or f"pmod(xxhash64({keys}), {self.buckets})"
+        buckets = self.buckets or min(MAX_BUCKETS, max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS)))
+        return f"pmod(xxhash64({keys}), {buckets})"
+
+    @property
+    def parts_follow_key(self) -> bool:
+        """True where a key has one part for good, so that a batch names all parts it can touch."""
+        return self.partition_expr is None or self.stable_parts
 
     @property
     def is_incremental(self) -> bool:

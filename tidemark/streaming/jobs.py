@@ -9,17 +9,35 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.measures import as_instant, wall_time
-from tidemark.operators import upsert
-from tidemark.plans.load import prepare, publish_batch
-from tidemark.sources import snapshots, stage
+from tidemark.functions.measures import as_instant, at, wall_time
+from tidemark.operators import clean, upsert
+from tidemark.plans.load import (
+    RejectedValues,
+    log_rejects,
+    prepare,
+    publish_batch,
+    published_beside,
+)
+from tidemark.plans.run import RunLog
+from tidemark.sources import stage, target
 from tidemark.spec import ColumnSpec, TableSpec, included
 
+#: What becomes of rows that can't be loaded.
+QUARANTINE, FAIL = "quarantine", "fail"
+#: The step that ends a micro-batch; watermarks of loads don't follow from it.
+BATCH_STEP = "batch_complete"
+_REASONS, _SOURCE = "_reasons", "_source"
+# Timestamps in full: by default JSON keeps milliseconds.
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def read_files(
     spark: SparkSession,
@@ -53,31 +71,37 @@ def upsert_stream(
     columns: Sequence[ColumnSpec],
     root: str,
     checkpoint: str,
+    on_reject: str = QUARANTINE,
 ) -> StreamingQuery:
     """Upsert every micro-batch into the published table.
 
+    Rows without a value in their key, or with a value that is no valid number or bit, are not
+    published: they go to the quarantine of the table with their reasons and the row as it came, or
+    stop the stream with `on_reject="fail"`. They are counted in the pass that types the batch, and
+    every batch leaves its rows in the run log and the metrics, like a load.
+
     A micro-batch may hold several versions of a key; the latest wins, and an older version than
     the published one is dropped. A batch seen before (replayed after a failure) does nothing,
-    because the version carries the stream's id with its batch; batches of another checkpoint are
-    another stream's and are taken.
+    because the table's state carries the stream's id with its batch; batches of another checkpoint
+    are another stream's and are taken.
     """
-    keys = list(spec.primary_key)
-    target_root = f"{root}/tables/{spec.name}"
+    if on_reject not in (QUARANTINE, FAIL):
+        raise ValueError(f"on_reject must be {QUARANTINE} or {FAIL}, got {on_reject!r}")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = snapshots.current(spark, target_root)
         stream_ = stream_id(spark, checkpoint)
+        before = target.current(spark, f"{root}/tables/{spec.name}")
         if before and before.batches.get(stream_, -1) >= batch_id:
             return
-        rows = batch.select(*(F.expr(c.expression).alias(c.sql_name) for c in included(columns)))
-        moment = datetime.now(timezone.utc).replace(tzinfo=None)
-        ready = upsert.latest_per_key(prepare(rows, spec, columns, moment), keys, ["ts_source"])
-        stage.write_stage(ready, f"{root}/stage", spec.name, stage.STAGING)
-        staged = stage.read_stage(spark, f"{root}/stage", spec.name, stage.STAGING)
-        if before:
-            staged = drop_outdated(staged, snapshots.read(spark, target_root, before), keys)
-        publish_batch(staged, spec, target_root, source_batch=(stream_, batch_id))
+        log = RunLog(spec.name, datetime.now(timezone.utc).replace(tzinfo=None))
+        try:
+            _load_batch(batch, spec, columns, root, (stream_, batch_id), log, on_reject)
+        except Exception as error:
+            log.step(BATCH_STEP, "failed", None, str(error), log.elapsed())
+            raise
+        finally:
+            log.save(spark, f"{root}/logs")
 
     return (
         stream.writeStream.foreachBatch(load)
@@ -87,6 +111,75 @@ def upsert_stream(
     )
 
 
+def _load_batch(
+    batch: DataFrame,
+    spec: TableSpec,
+    columns: Sequence[ColumnSpec],
+    root: str,
+    source: tuple[str, int],
+    log: RunLog,
+    on_reject: str,
+) -> None:
+    """Type a micro-batch, set its rejects aside and publish the rest."""
+    spark, keys = batch.sparkSession, list(spec.primary_key)
+    stage_root, target_root = f"{root}/stage", f"{root}/tables/{spec.name}"
+    whole = F.struct(*(F.col(f"`{c}`") for c in batch.columns))
+    as_it_came = F.to_json(whole, _JSON).alias(_SOURCE)
+    rows = clean.normalize(
+        batch.select(*(F.expr(c.expression).alias(c.sql_name) for c in included(columns)), as_it_came)
+    )
+    flagged = rows.withColumn(_REASONS, clean.reject_reasons(rows, included(columns), keys))
+    values, found = Observation(), Observation()
+    beside = (_REASONS, _SOURCE)
+    ready = prepare(flagged, spec, columns, log.started, rejected=values, beside=beside)
+    set_aside = F.size(_REASONS) > 0
+    ready = ready.withColumn(_SOURCE, F.when(set_aside, F.col(_SOURCE))).observe(
+        found, F.count_if(set_aside).alias("set_aside")
+    )
+    n_rows = stage.write_stage(ready, stage_root, spec.name, stage.TRANSFORMED)
+    n_aside = found.get["set_aside"]
+    log.metric("rows_processed", n_rows, "count")
+    log.metric("quarantined_rows", n_aside, "count")
+    log_rejects(log, values.get, columns, strict=False)
+    typed = stage.read_stage(spark, stage_root, spec.name, stage.TRANSFORMED)
+    if n_aside:
+        rejects = typed.filter(set_aside)
+        if on_reject == FAIL:
+            first = rejects.select(F.explode(_REASONS)).first()[0]
+            raise RejectedValues(f"{n_aside} rows can't be loaded, one of them: {first}")
+        stream_, batch_id = source
+        rejects.select(
+            F.col(_REASONS).alias("reasons"), F.col(_SOURCE).alias("source"), at(log.started).alias("rejected_ts")
+        ).write.mode("overwrite").parquet(
+            f"{quarantine_path(root, spec.name)}/stream={stream_}/batch_id={batch_id}"
+        )
+    good = typed.filter(~set_aside).drop(*beside)
+    unique = upsert.latest_per_key(good, keys, ["ts_source"])
+    n_unique = stage.write_stage(unique, stage_root, spec.name, stage.STAGING)
+    staged = stage.read_stage(spark, stage_root, spec.name, stage.STAGING)
+    before = target.current(spark, target_root)
+    if before:
+        staged = drop_outdated(staged, published_beside(staged, spec, target_root, before), keys)
+    n_changed, _ = publish_batch(staged, spec, target_root, n_unique, source_batch=source)
+    log.step("load_staging", "success", n_rows)
+    log.step("quarantine", "success", n_aside)
+    log.step("merge_ods", "success", n_changed)
+    log.step(BATCH_STEP, "success", n_rows, None, log.elapsed())
+
+
+def quarantine_path(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/quarantine/{table}"
+
+
+def read_quarantine(
+    spark: SparkSession, root: str, table: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Rows set aside, with reasons and the row as JSON; with the schema of the source also as
+    `row`, to be mended and sent again."""
+    rows = spark.read.parquet(quarantine_path(root, table))
+    return rows if schema is None else rows.withColumn("row", F.from_json("source", schema, _JSON))
+
+
 def drop_outdated(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows without those older than the row the target has."""
     old = target.select(*keys, F.col("ts_source").alias("old_ts"))
