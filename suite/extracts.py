@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from suite.inputs import ORDER_COLUMNS, ORDERS, REGISTRY_SQL, registry
 from suite.registry import query, table
 from tidemark.operators.clean import safe_names
 from tidemark.operators.runlog import select_tables, with_priority
-from tidemark.sources.extract import extract, filtered
+from tidemark.sources.extract import RANGE_ERROR, even_bounds, extract, filtered, range_predicates
 from tidemark.spec import ColumnSpec, TableSpec
 
 CUSTOMERS = TableSpec("customer", ("c_custkey",), has_timestamps=False)
@@ -133,3 +135,23 @@ def fact_subset(spark, sf):
 )
 def priority_class(spark, sf):
     return with_priority(registry(spark, sf))
+
+
+# Prices are skewed on purpose; every row falls in one of eight ranges of about equal size.
+@query(
+    "extract_even_ranges",
+    """SELECT 8 AS n_ranges, count(*) AS n_rows, true AS even
+       FROM lineitem""",
+)
+def extract_even_ranges(spark, sf):
+    skewed = F.pow(F.col("l_extendedprice") / 100, F.lit(4)).cast("bigint")
+    lines = table(spark, sf, "lineitem").select(skewed.alias("price"))
+    bounds = even_bounds(lines, "price", 8)
+    conditions = range_predicates("price", bounds)
+    place = F.array(*(F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions))
+    ranges = lines.select(F.posexplode(place).alias("range", "n")).groupBy("range").agg(F.sum("n").alias("n"))
+    total = F.sum("n")
+    slack = total * (1 / 8 + 2 * RANGE_ERROR) + 1
+    return ranges.agg(
+        F.count("*").cast("int").alias("n_ranges"), total.alias("n_rows"), (F.max("n") <= slack).alias("even")
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from suite.inputs import (
@@ -15,9 +17,11 @@ from suite.inputs import (
     run_log,
     step_log,
 )
-from suite.registry import query, table
+from suite.registry import ORACLES, query, table
 from tidemark.operators import metrics as met
 from tidemark.operators import runlog as rl
+from tidemark.sources import logs
+from tidemark.sources.scratch import scratch_path
 
 _NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 _LOG = f"({RUN_LOG_SQL}) l"
@@ -170,6 +174,39 @@ def last_runs(spark, sf):
     return rl.last_runs(run_log(spark, sf))
 
 
+def _rolled(spark, sf):
+    """The log stored in day folders and rolled up twice, as the daily report does: what is known
+    of the last runs without the days before."""
+    root = scratch_path(spark, "rolled")
+    rows = run_log(spark, sf)
+    logs.append_log(rows, root)
+    for upto in (date(2024, 1, 12), date(2024, 1, 29)):
+        logs.roll_up(spark, root, upto)
+    return logs.history(spark, root)
+
+
+@query("sla_status_rolled", _SLA_SQL)
+def sla_status_rolled(spark, sf):
+    return rl.sla_status(_rolled(spark, sf), AS_OF)
+
+
+@query("last_runs_rolled", ORACLES["last_runs"])
+def last_runs_rolled(spark, sf):
+    return rl.last_runs(_rolled(spark, sf))
+
+
+# The alerts of a report, appended to the log of alerts and read back by day.
+@query(
+    "alerts_appended",
+    f"""SELECT table_name, alert_type, severity, message, TIMESTAMP '2024-01-31 00:00:00' AS alert_ts,
+               DATE '2024-01-31' AS alert_date FROM ({ORACLES["alert_candidates"]}) a""",
+)
+def alerts_appended(spark, sf):
+    root = scratch_path(spark, "alerts")
+    logs.append_alerts(rl.alert_rows(run_log(spark, sf), AS_OF), root, AS_OF)
+    return logs.read_log(spark, root, logs.ALERTS).filter(F.col("alert_date") == AS_OF.date())
+
+
 _RESULTS_SQL = f"""SELECT CAST(r.o_orderkey AS VARCHAR) AS table_name,
        CASE WHEN notes LIKE '%critical%' THEN 'critical' WHEN is_dimension = 1 OR is_fact = 1 THEN 'high'
             ELSE 'normal' END AS priority,
@@ -243,6 +280,16 @@ def throughput(spark, sf):
     return _rounded(rl.throughput(step_log(spark, sf)), *columns)
 
 
+_WATERMARK_SQL = f"""SELECT table_name, max(log_ts - to_microseconds(CAST(round(duration_seconds * 1000000) AS BIGINT)))
+                 AS last_success_ts
+        FROM {_LOG} WHERE status = 'success' GROUP BY table_name"""
+
+
+@query("watermarks_rolled", _WATERMARK_SQL)
+def watermarks_rolled(spark, sf):
+    return rl.watermarks(_rolled(spark, sf))
+
+
 @query(
     "watermark_lookup",
     f"""SELECT table_name, max(log_ts - to_microseconds(CAST(round(duration_seconds * 1000000) AS BIGINT)))

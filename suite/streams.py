@@ -186,6 +186,38 @@ def stream_window_stats(spark, sf):
     return state.withColumn("avg_duration", F.round("avg_duration", 6))
 
 
+# A fourth of the first days' events arrives after all others, beyond the watermark: no window that
+# had ended then may count them. Those of the last day are late but within it, and count.
+_LATE = "user_id % 4 = 0 AND dayofmonth(ts) <= 3"
+_TARDY = "user_id % 4 = 1 AND ts >= TIMESTAMP '2024-01-30 18:00:00'"
+
+
+@query(
+    "stream_window_late",
+    f"""SELECT w AS window_start, w + INTERVAL 24 HOUR AS window_end, table_name,
+               count(*) AS total_runs, count(*) FILTER (status = 'failed') AS fail_count,
+               CAST(sum(rows_processed) AS BIGINT) AS total_rows,
+               round(avg(duration_seconds), 6) AS avg_duration
+        FROM (SELECT *, unnest([time_bucket(INTERVAL 6 HOUR, log_ts) - h * INTERVAL 6 HOUR
+                                for h in range(4)]) AS w
+              FROM ({RUN_LOG_SQL} WHERE NOT ({_LATE})) l) x
+        GROUP BY w, table_name""",
+)
+def stream_window_late(spark, sf):
+    root, folder = scratch_path(spark, "stream-late"), scratch_path(spark, "landed-late")
+    events = table(spark, sf, "events")
+    late, tardy = F.expr(_LATE), F.expr(_TARDY.replace("TIMESTAMP", "timestamp_ntz"))
+    # Spark tells late rows by the watermark that the batch before had, so two batches come first.
+    last_day = F.dayofmonth("ts") >= 30
+    for part in (~late & ~last_day, ~late & last_day & ~tardy, late | tardy):
+        events.filter(part).coalesce(1).write.mode("append").parquet(folder)
+    stream = jobs.read_files(spark, folder, events.schema, files_per_batch=1)
+    stats = jobs.window_stats(run_log_of(stream), slide="6 hours", delay="12 hours")
+    jobs.write_updates(stats, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    state = jobs.latest_state(spark, f"{root}/out", ["window_start", "window_end", "table_name"])
+    return state.withColumn("avg_duration", F.round("avg_duration", 6))
+
+
 def run_log_of(events):
     """The run-log view of events, also for a stream."""
     failed = F.col("event_type") == "error"

@@ -22,19 +22,23 @@ def _same(left: str, right: str, columns: Sequence[str]) -> Column:
     )
 
 
-def _ranked(
-    df: DataFrame, keys: Sequence[str], value: str, percentages: Mapping[str, float]
-) -> DataFrame:
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    # The piece numbers must stay the same for both uses below, so the pieces are written.
-    pieces = materialize(
+def counted_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The values of each group counted, in written pieces of a range partitioning: `_v`, `_n` and
+    `_piece` (rows without a value too). One pass over the data, from which counts and percentiles
+    both follow."""
+    counts = df.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    # The piece numbers must stay the same for all uses, so the pieces are written.
+    return materialize(
         counts.repartitionByRange(*keys, "_v").withColumn("_piece", F.spark_partition_id()),
         "percentile",
     )
+
+
+def percentiles_of(
+    counted: DataFrame, keys: Sequence[str], percentages: Mapping[str, float]
+) -> DataFrame:
+    """The percentiles of groups from their `counted_values`; NULL values do not count."""
+    pieces = counted.filter(F.col("_v").isNotNull())
     by_piece = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     sizes = pieces.groupBy(*keys, "_piece").agg(F.sum("_n").alias("_size")).select(
         *keys,
@@ -96,7 +100,7 @@ def exact_percentiles(
     `others` are further aggregates of the groups.
     """
     others = [c.alias(n) for n, c in (others or {}).items()]
-    ranked = _ranked(df, keys, value, percentages)
+    ranked = percentiles_of(counted_values(df, keys, value), keys, percentages)
     # Put together by a grouping, which takes NULL keys as equal and needs no join.
     groups = df.groupBy(*keys).agg(*others) if others else df.select(*keys).distinct()
     both = groups.unionByName(ranked, allowMissingColumns=True)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.measures import at, hours_since, ratio
 from tidemark.functions.text import clip
-from tidemark.operators.percentiles import exact_percentiles
+from tidemark.operators.percentiles import counted_values, percentiles_of
 from tidemark.operators.upsert import latest_per_key
 
 # Step and status names of the log.
@@ -42,6 +42,11 @@ def _failed() -> Column:
     return F.col("status") == FAILED
 
 
+def _started() -> Column:
+    seconds = F.make_dt_interval(secs=F.col("duration_seconds").cast("decimal(18,6)"))
+    return F.col("log_ts") - seconds
+
+
 def _completed_since(log: DataFrame, as_of: datetime, span: timedelta) -> DataFrame:
     recent = F.col("log_ts") >= at(as_of - span)
     if "log_date" in log.columns:  # a stored log has a folder per day
@@ -127,29 +132,36 @@ def sla_status(
 
 
 def slo_compliance(
-    log: DataFrame, as_of: datetime, days: int = 7, registry: DataFrame | None = None
+    log: DataFrame,
+    as_of: datetime,
+    days: int = 7,
+    registry: DataFrame | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """One row per objective: target, actual, whether it is met, and the error budget left.
 
+    `history` (`logs.history`) tells the last successes without the whole log.
+
     Without any run availability counts as met and nothing as failed. With a registry (`table_name`,
     `has_timestamps`) freshness is that of its tables with timestamps, and a table that never ran
     is infinitely old.
     """
     recent = _completed_since(log, as_of, timedelta(days=days))
-    runs = recent.agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.count_if(_succeeded()).cast("double").alias("ok"),
-        F.count_if(_failed()).cast("double").alias("bad"),
+    # The window is read once: durations counted by status are written, all figures come from them.
+    counted = counted_values(recent, ["status"], "duration_seconds")
+    runs = counted.agg(
+        F.sum("_n").cast("double").alias("n"),
+        F.sum(F.when(_succeeded(), F.col("_n"))).cast("double").alias("ok"),
+        F.sum(F.when(_failed(), F.col("_n"))).cast("double").alias("bad"),
     ).unpivot([], ["n", "ok", "bad"], "figure", "v")
-    successes = recent.filter(_succeeded()).withColumn("series", F.lit("all"))
-    latency = exact_percentiles(
-        successes, ["series"], "duration_seconds", {"v": 0.95}
-    ).select(F.lit("latency").alias("figure"), "v")
+    latency = percentiles_of(counted.filter(_succeeded()), ["status"], {"v": 0.95}).select(
+        F.lit("latency").alias("figure"), "v"
+    )
     timed = None if registry is None else registry.filter("has_timestamps")
     age = F.col("hours_since_success").cast("double")
     if registry is not None:
         age = F.coalesce(age, F.lit(float("inf")))
-    freshness = sla_status(log, as_of, timed).agg(F.max(age).alias("v")).select(F.lit("freshness").alias("figure"), "v")
+    freshness = sla_status(log if history is None else history, as_of, timed).agg(F.max(age).alias("v")).select(F.lit("freshness").alias("figure"), "v")
     figures = runs.unionByName(latency).unionByName(freshness)
     one = figures.agg(
         *(
@@ -202,10 +214,14 @@ def recent_failures(
 
 
 def alert_rows(
-    log: DataFrame, as_of: datetime, many: int = 5, registry: DataFrame | None = None
+    log: DataFrame,
+    as_of: datetime,
+    many: int = 5,
+    registry: DataFrame | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Rows for the alert table: one per late table, one when more than `many` runs failed."""
-    late = sla_status(log, as_of, registry).filter("sla_status <> 'OK'")
+    late = sla_status(log if history is None else history, as_of, registry).filter("sla_status <> 'OK'")
     hours = F.coalesce(F.col("hours_since_success").cast("string"), F.lit("no"))
     breaches = late.select(
         "table_name",
@@ -270,6 +286,28 @@ def last_runs(log: DataFrame) -> DataFrame:
     return latest_per_key(finished, ["table_name"], ["log_ts", "run_id"])
 
 
+def telling_rows(log: DataFrame) -> DataFrame:
+    """The rows of a log that tell the last runs of every table: the last finished one, the last
+    successful one and the successful one that started last; three rows a table at most.
+
+    `last_successes`, `last_runs` and `watermarks` give the same on these rows as on the whole log,
+    also together with later rows.
+    """
+    row = F.struct(*(c for c in log.columns if c != "log_date"))
+    good, order = _succeeded(), F.struct("log_ts", "run_id", row)
+    started = F.struct(_started().alias("started"), order)
+    picked = log.filter(F.col("step_name") == COMPLETE).groupBy("table_name").agg(
+        F.array_distinct(
+            F.array(
+                F.max_by(row, order),
+                F.max_by(row, F.when(good, order)),
+                F.max_by(row, F.when(good & _started().isNotNull(), started)),
+            )
+        ).alias("rows")
+    )
+    return picked.select(F.explode("rows").alias("r")).filter("r IS NOT NULL").select("r.*")
+
+
 # --- results of one round over many tables --------------------------------------------------
 
 
@@ -325,5 +363,4 @@ def throughput(log: DataFrame) -> DataFrame:
 def watermarks(log: DataFrame) -> DataFrame:
     """Start of the last successful extract of every table: where the next one continues."""
     done = log.filter((F.col("step_name") == COMPLETE) & _succeeded())
-    started = F.col("log_ts") - F.make_dt_interval(secs=F.col("duration_seconds").cast("decimal(18,6)"))
-    return done.groupBy("table_name").agg(F.max(started).alias("last_success_ts"))
+    return done.groupBy("table_name").agg(F.max(_started()).alias("last_success_ts"))

@@ -148,7 +148,7 @@ def _by_part(rows: DataFrame) -> DataFrame:
 def resumed(spark: SparkSession, spec: TableSpec, log_root: str) -> TableSpec:
     """The table with the start of its last successful load, from the run log of the job."""
     try:
-        log = logs.read_log(spark, log_root, logs.RUN_LOG)
+        log = logs.history(spark, log_root)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +76,47 @@ def jdbc_options(
     return result
 
 
+#: Error of the quantiles that ranges are taken from, as a share of all rows.
+RANGE_ERROR = 0.002
+
+
+def even_bounds(known: DataFrame, column: str, ranges: int) -> list:
+    """Inner bounds that cut the values of a column into ranges of about equal numbers of rows.
+
+    From one quantile sketch over `known`: the published table of the last load, or any table with
+    the same spread of values. Bounds are values that occur, so a value that fills several ranges
+    gives one; there may be fewer bounds than asked for.
+    """
+    shares = [i / ranges for i in range(1, ranges)]
+    picked = known.agg(
+        F.percentile_approx(F.col(f"`{column}`"), shares, int(1 / RANGE_ERROR)).alias("bounds")
+    ).first()["bounds"]
+    return sorted(set(picked or ()))
+
+
+def _literal(value) -> str:
+    return str(value) if isinstance(value, (int, float, Decimal)) else "'" + str(value).replace("'", "''") + "'"
+
+
+def range_predicates(column: str, bounds: Sequence) -> list[str]:
+    """SQL conditions that divide all rows by bounds, each row in exactly one; NULLs in the first."""
+    if not bounds:
+        return ["1 = 1"]
+    texts = [_literal(b) for b in bounds]
+    found = [f"{column} < {texts[0]} OR {column} IS NULL"]
+    found += [f"{column} >= {a} AND {column} < {b}" for a, b in zip(texts, texts[1:])]
+    return [*found, f"{column} >= {texts[-1]}"]
+
+
+def read_in_ranges(
+    spark: SparkSession, url: str, table: str, conditions: Sequence[str], fetch_size: int = 50_000, **options: str
+) -> DataFrame:
+    """A JDBC table read by one task per condition (see `range_predicates`), so that a skewed
+    column gives even tasks."""
+    properties = {"fetchsize": str(fetch_size), **options}
+    return spark.read.jdbc(url, table, predicates=list(conditions), properties=properties)
+
+
 def jdbc_reader(spark: SparkSession, **options) -> DataFrameReader:
     """JDBC source; projections and filters put on top are pushed to the database."""
     return spark.read.format("jdbc").options(**jdbc_options(**options))

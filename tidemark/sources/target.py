@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources import folders
+
 PART = "part"
 # Most parts of a table: those of a batch are listed on the driver and in the state.
 MAX_PARTS = 10_000
@@ -182,10 +184,6 @@ def settle(
         if staged_parts is None:
             staged_parts = {r[PART] for r in staged.select(PART).distinct().collect()}
         for part in set(state.replaced) - staged_parts:  # all its rows have moved
-            _remove(spark, f"{_folder(root, 'rows')}/{PART}={part}")
+            folders.remove(spark, f"{_folder(root, 'rows')}/{PART}={part}")
     return _save(spark, root, replace(state, step=state.step + 1, pending=False, replaced=()))
 
-
-def _remove(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

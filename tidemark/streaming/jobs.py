@@ -6,7 +6,8 @@ as the batch load was. The checkpoint remembers what was taken.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -205,7 +206,11 @@ def drop_repeats(
 def window_stats(
     stream: DataFrame, length: str = "24 hours", slide: str = "1 hour", delay: str = "1 hour"
 ) -> DataFrame:
-    """Runs, failures, rows and mean seconds per table and trailing window."""
+    """Runs, failures, rows and mean seconds per table and trailing window.
+
+    A row that is later than `delay` counts in those of its windows that have not ended at the
+    watermark of the batch before (the latest time seen by then less `delay`), and in no others.
+    """
     return (
         _event_time(stream, "log_ts")
         .withWatermark("log_ts", delay)
@@ -228,18 +233,34 @@ def window_stats(
     )
 
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB: on the disks of the executors and in the
+    checkpoint, not in their memory. A store that the session names itself stays."""
+    before = spark.conf.get(_STATE_STORE, None)
+    chosen = before is not None and not before.endswith("HDFSBackedStateStoreProvider")
+    if not chosen:
+        spark.conf.set(_STATE_STORE, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if not chosen:
+            spark.conf.unset(_STATE_STORE) if before is None else spark.conf.set(_STATE_STORE, before)
+
+
 def write_updates(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Keep what every micro-batch changed in a folder of its own; a replay rewrites the folder."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return (
-        stream.writeStream.outputMode("update").foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.outputMode("update").foreachBatch(save)
+    with state_on_disk(stream.sparkSession):
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def latest_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
@@ -249,10 +270,6 @@ def latest_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
 
 def append_rows(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append the rows of a stream to a Parquet folder, each exactly once."""
-    return (
-        stream.writeStream.outputMode("append").format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.outputMode("append").format("parquet").option("path", path)
+    with state_on_disk(stream.sparkSession):
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
