@@ -102,3 +102,18 @@ def digest(df: DataFrame, columns: Sequence[str]) -> tuple[Column, Column]:
             col = F.to_json(F.struct(col))
         parts += [col.isNull(), col]
     return F.xxhash64(*parts), F.xxhash64(F.lit(_SECOND), *parts)
+
+
+def unpivoted(cells: Sequence[Sequence[Column]], df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """A row per row of `df` and cell: `id` (the place of the cell) and the values of the cell under
+    `names`. One generated projection per cell, with plain columns instead of arrays of structs."""
+    columns, groups = [], []
+    for place, cell in enumerate(cells):
+        own = [f"c{place}_{i}" for i in range(len(cell))]
+        columns += [value.alias(n) for value, n in zip(cell, own, strict=True)]
+        groups.append(f"({', '.join(own)}) AS `{place}`")
+    return df.sparkSession.sql(
+        f"SELECT CAST(id AS INT) AS id, {', '.join(names)} FROM {{cells}} "
+        f"UNPIVOT INCLUDE NULLS (({', '.join(names)}) FOR id IN ({', '.join(groups)}))",
+        cells=df.select(*columns),
+    )

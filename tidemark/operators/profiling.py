@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.hashing import digest
+from tidemark.functions.hashing import digest, unpivoted
 from tidemark.functions.measures import days_since, ratio, rounded
 from tidemark.operators.clean import TECHNICAL_COLUMNS
 
@@ -46,12 +46,10 @@ def _exact_counts(df: DataFrame) -> DataFrame:
     fields = _profiled(df)
     parts = []
     for start in range(0, len(fields), CHUNK):
-        cells = []
-        for place, field in enumerate(fields[start : start + CHUNK], start):
-            first, second = digest(df, [field.name])
-            cell = (F.lit(place).alias("id"), _kind(field).alias("kind"), first.alias("d1"), second.alias("d2"))
-            cells.append(F.struct(*cell))
-        parts.append(df.select(F.inline(F.array(*cells))))
+        some = fields[start : start + CHUNK]
+        cells = [(_kind(f), *digest(df, [f.name])) for f in some]
+        rows = unpivoted(cells, df, ["kind", "d1", "d2"])
+        parts.append(rows.withColumn("id", F.col("id") + start))
     counts = reduce(DataFrame.unionByName, parts).groupBy("id", "kind", "d1", "d2").agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import digest
+from tidemark.functions.hashing import digest, unpivoted
 from tidemark.functions.measures import ratio
 
 CRITICAL = "critical"
@@ -218,12 +218,10 @@ def check_unique_sets(df: DataFrame, keys: Mapping[str, Sequence[str]], severity
     task before the shuffle, so a key that fills the table is one row per task.
     """
     names = list(keys)
-    cells = []
-    for place, name in enumerate(names):
-        first, second = digest(df, keys[name])
-        cells.append(F.struct(F.lit(place).alias("rule"), first.alias("d1"), second.alias("d2")))
+    cells = [digest(df, keys[name]) for name in names]
     counts = (
-        df.select(F.inline(F.array(*cells)))
+        unpivoted(cells, df, ["d1", "d2"])
+        .withColumnRenamed("id", "rule")
         .groupBy("rule", "d1", "d2")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )

@@ -72,5 +72,4 @@ class RunLog:
     def save(self, spark: SparkSession, root: str) -> None:
         logs.append_rows(spark, root, logs.RUN_LOG, logs.RUN_LOG_SCHEMA, self.steps)
         if self.metrics:
-            rows = spark.createDataFrame(self.metrics, logs.METRICS_SCHEMA)
-            logs.append_metrics(rows.coalesce(1), root)
+            logs.append_metrics(logs.few_rows(spark, self.metrics, logs.METRICS_SCHEMA), root)

@@ -27,3 +27,28 @@ def complete(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     place, files = _place(spark, path)
     files.delete(place, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, None where there is none."""
+    place, files = _place(spark, path)
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, whole or not at all: written under another name and renamed."""
+    place, files = _place(spark, path)
+    beside, _ = _place(spark, f"{path}.new")
+    stream = files.create(beside, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    files.delete(place, False)
+    files.rename(beside, place)

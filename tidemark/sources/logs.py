@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.functions.measures import at
 from tidemark.operators.runlog import telling_rows
@@ -47,10 +50,18 @@ def append_rows(
 
     Reports of the last days filter by the folder too, so they never open older files.
     """
-    written = spark.createDataFrame(list(rows), schema).coalesce(1)
+    written = few_rows(spark, rows, schema)
     _append_by_day(written, root, log, "log_ts", DAY_COLUMNS[RUN_LOG])
 
 
+def few_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """The few rows of a job as a table of one task, without a Python worker."""
+    named = T.StructType.fromDDL(schema)
+    columns = zip(*rows, strict=True)
+    arrays = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, named, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, named.names), named).coalesce(1)
+
+
 def append_log(rows: DataFrame, root: str) -> None:
     """Append many run-log rows, such as a log kept elsewhere before, in the folders of their days."""
     by_day = rows.repartition(F.to_date("log_ts"))

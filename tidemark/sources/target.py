@@ -1,19 +1,18 @@
 """The published table: one Parquet folder partitioned by `part`.
 
 A load writes the rows of the parts it touches to a staged folder and then lets Spark replace these
-partitions (dynamic partition overwrite). What that does not give is kept in a small state row: the
+partitions (dynamic partition overwrite). What that does not give is kept in a small state file: the
 schema, what a part follows from, the last batch of every stream, and which parts a staged folder is
 about to replace. While that is pending, readers take those parts from the staged folder, and the
 next load replaces them again first; so a load that fails leaves the old rows or the new ones, never
-some of both. State rows take turns in two folders. One writer at a time.
+some of both. The state takes turns in two small files. One writer at a time.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,10 +22,6 @@ from tidemark.sources import folders
 PART = "part"
 # Most parts of a table: those of a batch are listed on the driver and in the state.
 MAX_PARTS = 10_000
-_STATE = (
-    "step bigint, version bigint, pending boolean, replaced array<string>, "
-    "batches map<string,bigint>, table_schema string, part_expr string"
-)
 
 
 @dataclass(frozen=True)
@@ -48,40 +43,20 @@ def _folder(root: str, name: str) -> str:
 
 def current(spark: SparkSession, root: str) -> Target | None:
     """The state of the table, None before its first load."""
-    rows = []
-    for turn in (0, 1):
-        try:
-            rows += spark.read.schema(_STATE).json(_folder(root, f"state/turn={turn}")).collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-    if not rows:
+    texts = (folders.read_text(spark, _folder(root, f"state/turn{turn}.json")) for turn in (0, 1))
+    found = [json.loads(text) for text in texts if text]
+    if not found:
         return None
-    row = max(rows, key=lambda r: r["step"])
-    return Target(
-        row["step"],
-        row["version"],
-        T.StructType.fromJson(json.loads(row["table_schema"])),
-        row["part_expr"],
-        row["batches"] or {},
-        row["pending"],
-        None if row["replaced"] is None else tuple(row["replaced"]),
-    )
+    last = max(found, key=lambda state: state["step"])
+    schema = T.StructType.fromJson(last.pop("schema"))
+    replaced = last.pop("replaced")
+    return Target(schema=schema, replaced=None if replaced is None else tuple(replaced), **last)
 
 
 def _save(spark: SparkSession, root: str, state: Target) -> Target:
-    replaced = None if state.replaced is None else list(state.replaced)
-    row = (
-        state.step,
-        state.version,
-        state.pending,
-        replaced,
-        state.batches,
-        state.schema.json(),
-        state.part_expr,
-    )
-    path = _folder(root, f"state/turn={state.step % 2}")
-    spark.createDataFrame([row], _STATE).coalesce(1).write.mode("overwrite").json(path)
+    row = asdict(replace(state, schema=None)) | {"schema": state.schema.jsonValue()}
+    path = _folder(root, f"state/turn{state.step % 2}.json")
+    folders.write_text(spark, path, json.dumps(row, sort_keys=True))
     return state
 
 
