@@ -216,13 +216,12 @@ def training_pages(htmls: list[str], seed: int = 11) -> tuple[list[list[Block]],
 def learn(pages: DataFrame) -> Model | None:
     """The labeller from a bounded sample of the pages; None where there is no text at all."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    sample = (
-        pages.select(F.substring(html, 1, READ).alias("html"), F.xxhash64(html).alias("order"))
-        .filter("html <> ''")
-        .orderBy("order", "html")
-        .limit(SAMPLE)
-    )
-    sequences, wanted = training_pages([r.html for r in sample.collect()])
+    texts = pages.select(html.alias("html"), F.xxhash64(html).alias("order")).filter("html <> ''")
+    # Hashes first, so that no more than SAMPLE texts ever leave their tasks; copies count once.
+    hashes = texts.select("order").distinct().orderBy("order").limit(SAMPLE).collect()
+    chosen = texts.filter(F.col("order").isin([r.order for r in hashes]))
+    cut = chosen.groupBy("order").agg(F.min(F.substring("html", 1, READ)).alias("html"))
+    sequences, wanted = training_pages([r.html for r in cut.orderBy("order").collect()])
     return train(sequences, wanted) if sequences else None
 
 
