@@ -6,17 +6,19 @@ give a log-likelihood ratio per transition, and tokens whose mean ratio is above
 added. The models are counted from labelled samples. Random strings are drawn once from the alphabets
 below, in equal parts, whatever the table holds; the different values that a fixed pattern found are
 one part more per kind, which never weighs more than a drawn one. Identifiers are the words without
-digits of a bounded sample of documents.
+digits of a bounded sample of documents, or the names of Python where a sample has no words.
 
 Everything is a DataFrame expression: matches by `regexp_extract_all`, their places from the lengths
 of what `split` leaves between them, ratios from a table of 68 x 68 numbers in the plan.
 
-Defined results: a null text is empty and has no spans; equal rows are scanned each for itself;
-without words nothing is added to the fixed spans.
+Defined results: a null text is empty and has no spans; null and repeated ids are ids like others, and
+equal rows are scanned each for itself; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import builtins
+import keyword
 import math
 import random
 import string
@@ -139,13 +141,22 @@ def random_strings(fixed: DataFrame) -> dict[int, float]:
 
 
 def identifiers(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Different words without digits of about `sample` documents, picked by a hash of their id."""
+    """Different words without digits of about `sample` documents, picked by a hash of id and text."""
     every = max(1, round(docs.count() / sample))
-    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
+    some = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0)
     words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[A-Za-z_+/=-]{4,}"), F.lit(0))
     return some.select(F.explode(words).alias("token")).distinct()
 
 
+def known_identifiers() -> dict[int, int]:
+    """Transitions of the names that Python itself has: identifiers for a sample without words."""
+    found: Counter = Counter()
+    for name in {*keyword.kwlist, *dir(builtins)}:
+        places = [ALPHABET.find(c) % _SIZE for c in name]
+        found.update(a * _SIZE + b for a, b in zip(places, places[1:]))
+    return found
+
+
 def ratios(labelled: dict[int, float], ordinary: dict[int, int]) -> list[float] | None:
     """Log-likelihood ratio of every transition, or None without samples of both kinds."""
     if not labelled or not ordinary:
@@ -186,9 +197,7 @@ def spans(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     found = scanned(docs)
     places = placed(found)
     fixed = places.filter(F.col("kind") < len(PATTERNS))
-    table = ratios(random_strings(fixed), _transitions(identifiers(docs)))
-    if table is None:
-        return found, fixed.drop("value")
+    table = ratios(random_strings(fixed), _transitions(identifiers(docs)) or known_identifiers())
     by_start = Window.partitionBy("row").orderBy("start", "kind")
     is_fixed = F.col("kind") < len(PATTERNS)
     before = F.max(F.when(is_fixed, F.col("end"))).over(
