@@ -25,6 +25,8 @@ from tidemark.llm.spread import running_totals, text_key
 from tidemark.llm.tokens import word_tokenizer
 from tidemark.sources.scratch import materialize
 
+#: Entries of the word cache of a Python worker: a word costs more to work out than to hold.
+WORDS = 800_000
 #: Options of the files; see the ORC specification. 64 MB stripes, an index entry per 1,000 rows.
 ORC_OPTIONS = {
     "orc.stripe.size": str(64 << 20),
@@ -40,7 +42,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """doc_id, text_key and `ids`, the token ids of the text and the end id."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_tokenizer(tokenizer)
+        words = word_tokenizer(tokenizer, WORDS)
         end = np.array([end_id], "<u4").tobytes()
         for rows, texts in pieces(batches):
             found = [ids + end for ids in words.ids(texts)]
