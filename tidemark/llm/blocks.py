@@ -92,16 +92,18 @@ def blocks(html: str) -> list[Block]:
             continue
         tag = tag.lower()
         breaks = tag in BLOCK
-        if breaks:
-            flush()
         if token[2]:
             for position in range(len(tags) - 1, -1, -1):
                 if tags[position] == tag:
+                    if breaks:  # an end without a beginning breaks nothing
+                        flush()
                     close(position)
                     break
                 if not breaks and tags[position] in BLOCK:
                     break
             continue
+        if breaks:
+            flush()
         if tag == "br":
             texts.append(" ")
         if tag in VOID:

@@ -121,7 +121,8 @@ class _Layouts:
 
     def _part(self, outer: Path, kinds: str, most: int = 3) -> list[Block]:
         own = (*outer, self._element(kinds))
-        inner = self._one([(), (("p",),), (("div",),), (("ul",), ("li",)), (("h3",),), (("span",),), (("li",), ("p",))])
+        inner = self._one([(), (("p",),), (("p",),), (("div",),), (("ul",), ("li",)), (("h3",),), (("h2",),), (("h1",),),
+                           (("span",),), (("li",), ("p",))])
         return [
             Block((*own, *inner), self._text(), float(self._chance(0.15)))
             for _ in range(int(self.rng.integers(1, most + 1)))
@@ -134,7 +135,7 @@ class _Layouts:
             outer = (*outer, element("div", self._made_up()))
         found, labels = [], []
         for i, text in enumerate(texts):
-            if i and self._chance(0.03):
+            if i and self._chance(0.08):
                 kinds = self._one([ADVERTS, SIDEBARS, NOTICES, FORMS])
                 extra = self._part(outer, kinds, 2)
                 found += extra
