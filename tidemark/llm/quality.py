@@ -1,192 +1,36 @@
-"""Quality rules: counts per text and perplexity under an n-gram model of its language.
+"""Quality rules: counts per text and perplexity under a word model of the corpus.
 
-The model is a modified Kneser-Ney model of character 4-grams inside words. Spark counts the 4-grams
-of all words of all documents per language; each symbol is one of 64 classes, so a language has at
-most 2**24 different 4-grams whatever the input, and that bounds the model. It is stored as sorted
-arrays of packed 4-, 3-, 2- and 1-grams (24 bits and less) with probabilities and back-off weights,
-and looked up by binary search. Perplexity bands are per language: quartiles of all documents that
-pass the counting rules, widened by a multiple of their distance.
+The counting rules look at one text. What they leave is held against perplexity bands per language
+(see `perplexity.py` for the model): how well the words themselves are foretold, and how much better
+they are with the word before. Random letters and foreign symbols raise the first, words in no order
+lose the second, and endless templates fall below the bands. Bands are the quartiles of all documents
+that pass the counting rules, each moved outwards by multiples of its distance from the median.
 
 Defined results: a null text has no words and fails the counting rules; a null language is a language
-of its own; documents without words have no perplexity; equal rows get equal results.
+of its own, and there may be any number of them; documents without words have no perplexity; equal
+texts of a language get equal results; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
-
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.llm.batches import CACHED_LENGTH, pieces, small_batches
+from tidemark.llm.perplexity import measured
 from tidemark.sources.scratch import materialize
 
-ORDER = 4
-#: Symbol classes; the last two are the start and the end of a word.
-CLASSES = 64
-_START, _END = 62, 63
-MAX_LANGUAGES = 256
-#: Words counted before a task turns them into 4-grams.
-WORDS_HELD = 400_000
-#: Words whose scores a task keeps, of all languages together.
-WORDS_KNOWN = 400_000
 #: Counting rules: a text has at least so many words, and at most this share in repeated windows.
 MIN_WORDS = 50
 MAX_REPEATED = 50
-#: Bands of the log perplexity reach so many distances of the quartiles beyond the quartiles, and
-#: this much at least: prose of a second language inside a text stays, random letters go.
-REACH = 6.0
-LEAST_REACH = 0.5
+#: How far the bands reach beyond the quartiles, below and above, in distances of that quartile from
+#: the median: copies and foreign passages widen one side only.
+WORD_REACH = (6.0, 2.0)
+GAIN_REACH = (3.0, 12.0)
 
 SYMBOLS = b"#*$%&|<>"
 
 
-def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Packed 4-grams that end in a symbol or the end of a word, and each one's word."""
-    text = "\n\n\n" + "\r\n\n\n".join(words).lower() + "\r"
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    letter = (codes >= 97) & (codes <= 122)
-    digit = (codes >= 48) & (codes <= 57)
-    kind = np.where(codes < 128, 28, 29 + codes % 33)
-    kind[letter] = codes[letter] - 96
-    kind[digit] = 27
-    kind[codes == 10] = _START
-    kind[codes == 13] = _END
-    packed = kind[: len(kind) - 3]
-    for k in range(1, ORDER):
-        packed = packed * CLASSES + kind[k : len(kind) - 3 + k]
-    last = kind[3:]
-    owner = np.cumsum(last == _END) - (last == _END)
-    valid = last != _START
-    return packed[valid], owner[valid]
-
-
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) over all words of all texts."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for name, words in held.items():
-                if words:
-                    found, owner = grams([w.decode("utf-8", "replace") for w in words])
-                    times = np.fromiter(words.values(), np.int64, len(words))
-                    unique, where = np.unique(found, return_inverse=True)
-                    sums = np.bincount(where, times[owner]).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([name] * len(unique), pa.string()),
-                            pa.array(unique, pa.int32()),
-                            pa.array(sums),
-                        ],
-                        names=["lang", "gram", "n"],
-                    )
-                words.clear()
-
-        for rows, texts in pieces(batches):
-            for name, text in zip(rows.column("lang").to_pylist(), texts, strict=True):
-                held.setdefault(name, Counter()).update((text or b"").split())
-            if sum(map(len, held.values())) > WORDS_HELD:
-                yield from flush()
-        yield from flush()
-
-    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), "text")
-    counted = small_batches(rows).mapInArrow(count, "lang string, gram int, n bigint")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Level:
-    """One order: sorted grams with probabilities, sorted contexts with back-off weights."""
-
-    keys: np.ndarray
-    prob: np.ndarray
-    contexts: np.ndarray
-    back: np.ndarray
-
-
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the wanted keys in a sorted array, and whether they are there."""
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
-
-
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """What is taken off counts of 1, 2 and 3 or more, from the counts of counts."""
-    t = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-    found = np.array([0.5, 1.0, 1.5])
-    if t[0] and t[1]:
-        y = t[0] / (t[0] + 2 * t[1])
-        for k in (1, 2, 3):
-            if t[k - 1]:
-                found[k - 1] = min(max(k - (k + 1) * y * t[k] / t[k - 1], 0.05), k - 0.05)
-    return found
-
-
-class KneserNey:
-    """Interpolated modified Kneser-Ney probabilities from the counts of the highest order."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        by_order = {ORDER: (keys, counts)}
-        for n in range(ORDER - 1, 0, -1):
-            # Lower orders count in how many contexts a gram goes on.
-            shorter = by_order[n + 1][0] & (CLASSES**n - 1)
-            by_order[n] = np.unique(shorter, return_counts=True)
-        self.levels: dict[int, Level] = {}
-        for n in range(1, ORDER + 1):
-            grams_, times = by_order[n]
-            off = discounts(times)
-            contexts, where = np.unique(grams_ // CLASSES, return_inverse=True)
-            total = np.bincount(where, times)
-            taken = off[np.minimum(times, 3) - 1]
-            back = np.bincount(where, taken) / total
-            lower = self._prob(grams_ & (CLASSES ** (n - 1) - 1), n - 1)
-            prob = (times - taken) / total[where] + back[where] * lower
-            self.levels[n] = Level(
-                grams_.astype(np.int32),
-                prob.astype(np.float32),
-                contexts.astype(np.int32),
-                back.astype(np.float32),
-            )
-
-    def _prob(self, wanted: np.ndarray, n: int) -> np.ndarray:
-        if n == 0:
-            return np.full(len(wanted), 1 / (CLASSES - 1))
-        level = self.levels[n]
-        at, known = _find(level.keys, wanted)
-        prob = level.prob[at].astype(np.float64)
-        if not known.all():
-            rest = wanted[~known]
-            place, seen = _find(level.contexts, rest // CLASSES)
-            weight = np.where(seen, level.back[place], 1.0)
-            prob[~known] = weight * self._prob(rest & (CLASSES ** (n - 1) - 1), n - 1)
-        return prob
-
-    def word_scores(self, words: list[str]) -> np.ndarray:
-        """Log probability of each word with its end."""
-        found, owner = grams(words)
-        return np.bincount(owner, np.log(self._prob(found, ORDER)), len(words))
-
-
-def train(docs: DataFrame) -> dict[str, KneserNey]:
-    """A model per language over all documents (lang, text)."""
-    counts = materialize(gram_counts(docs), "grams")
-    if counts.select("lang").distinct().count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    # Counts of at most 2**24 grams a language, never texts.
-    table = counts.toPandas().sort_values(["lang", "gram"])
-    return {
-        lang: KneserNey(own["gram"].to_numpy(np.int64), own["n"].to_numpy(np.int64))
-        for lang, own in table.groupby("lang")
-    }
-
-
 def _repeated_words(words: list[bytes]) -> int:
     """Words in 3-word windows that are found twice or more, the first included."""
     n = len(words) - 2
@@ -236,88 +80,45 @@ def text_counts(text: bytes | None) -> tuple[list[bytes], tuple[int, ...]]:
     return words, (len(words), chars, symbols, _repeated_lines(text), _repeated_words(words))
 
 
-class WordScores:
-    """Log probabilities of words under one model, and those it has worked out."""
+def base_counts(text: bytes) -> tuple[tuple[int, ...], bool]:
+    """The figures of a text and whether the counting rules reject it."""
+    _, found = text_counts(text)
+    return found, found[0] < MIN_WORDS or 100 * found[4] > MAX_REPEATED * found[0]
 
-    def __init__(self, model: KneserNey) -> None:
-        self.model = model
-        self.known: dict[bytes, float] = {}
 
-    def of(self, documents: list[list[bytes]]) -> list[float]:
-        fresh = list({w for words in documents for w in words if w not in self.known})
-        found: dict[bytes, float] = {}
-        if fresh:
-            scores = self.model.word_scores([w.decode("utf-8", "replace") for w in fresh])
-            found = dict(zip(fresh, scores.tolist(), strict=True))
-        long = {w: s for w, s in found.items() if len(w) > CACHED_LENGTH}
-        self.known.update((w, s) for w, s in found.items() if len(w) <= CACHED_LENGTH)
-        known = self.known
-        if long:
-            return [sum(long[w] if w in long else known[w] for w in words) for words in documents]
-        return [sum(map(known.__getitem__, words)) for words in documents]
+def _band(reach: tuple[float, float], name: str) -> list[Column]:
+    low, middle, high = (F.col(f"q_{name}")[k] for k in range(3))
+    return [
+        (low - (middle - low) * reach[0]).alias(f"{name}_low"),
+        (high + (high - middle) * reach[1]).alias(f"{name}_high"),
+    ]
 
 
-def measured(docs: DataFrame, models: dict[str, KneserNey]) -> DataFrame:
-    """doc_id, lang, the counts, base_failed and log_perplexity of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+def judged(
+    docs: DataFrame,
+    word_reach: tuple[float, float] = WORD_REACH,
+    gain_reach: tuple[float, float] = GAIN_REACH,
+) -> DataFrame:
+    """The measured documents (doc_id, lang, text) with the bands of their language and kept."""
+    found = measured(docs, _COUNTS, base_counts)
+    gain = F.col("log_word_perplexity") - F.col("log_perplexity")
+    found = materialize(found.withColumn("gain", gain), "measured")
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
-        scorers = {k: WordScores(m) for k, m in models.items()}
-        for rows, texts in pieces(batches):
-            if sum(len(s.known) for s in scorers.values()) > WORDS_KNOWN:
-                for scorer in scorers.values():
-                    scorer.known.clear()
-            found = [text_counts(t) for t in texts]
-            langs = rows.column("lang").to_pylist()
-            logs: list[float | None] = [None] * len(texts)
-            for lang in set(langs):
-                own = [i for i, x in enumerate(langs) if x == lang and found[i][0]]
-                if own:
-                    sums = scorers[lang].of([found[i][0] for i in own])
-                    for i, total in zip(own, sums, strict=True):
-                        logs[i] = -total / (found[i][1][0] + found[i][1][1])
-            counts = np.array([f[1] for f in found], np.int64)
-            failed = (counts[:, 0] < MIN_WORDS) | (
-                100 * counts[:, 4] > MAX_REPEATED * counts[:, 0]
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("doc_id"),
-                    rows.column("lang"),
-                    *[pa.array(counts[:, k]) for k in range(len(_COUNTS))],
-                    pa.array(failed),
-                    pa.array(logs, pa.float64()),
-                ],
-                names=["doc_id", "lang", *_COUNTS, "base_failed", "log_perplexity"],
-            )
+    def quartiles(figure: str) -> Column:
+        return F.percentile_approx(figure, [0.25, 0.5, 0.75], 10_000)
 
-    schema = T.StructType(
-        [
-            T.StructField("doc_id", docs.schema["doc_id"].dataType),
-            T.StructField("lang", T.StringType()),
-            *[T.StructField(c, T.LongType()) for c in _COUNTS],
-            T.StructField("base_failed", T.BooleanType()),
-            T.StructField("log_perplexity", T.DoubleType()),
-        ]
+    by_lang = found.filter(~F.col("base_failed")).groupBy("lang")
+    by_lang = by_lang.agg(
+        quartiles("log_word_perplexity").alias("q_word"), quartiles("gain").alias("q_gain")
     )
-    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
-    return small_batches(docs.select("doc_id", lang, "text")).mapInArrow(measure, schema)
-
-
-def judged(docs: DataFrame, reach: float = REACH, least: float = LEAST_REACH) -> DataFrame:
-    """The measured documents (doc_id, lang, text) with low, high (of perplexity) and kept."""
-    found = materialize(measured(docs, train(docs)), "measured")
-    quartiles = F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000)
-    by_lang = found.filter(~F.col("base_failed")).groupBy("lang").agg(quartiles.alias("q"))
-    width = F.greatest((F.col("q")[1] - F.col("q")[0]) * reach, F.lit(least))
+    gain_low, gain_high = _band(gain_reach, "gain")
+    # Words in no order gain nothing from the word before, so the band ends at zero at the latest.
+    gain_low = F.least(F.col("q_gain")[0], F.greatest(gain_low, F.lit(0.0))).alias("gain_low")
     bands = by_lang.select(
-        F.col("lang").alias("_tm_lang"),
-        F.exp(F.col("q")[0] - width).alias("low"),
-        F.exp(F.col("q")[1] + width).alias("high"),
+        F.col("lang").alias("_tm_lang"), *_band(word_reach, "word"), gain_low, gain_high
     )
-    # At most MAX_LANGUAGES rows.
-    beside = found.join(F.broadcast(bands), F.col("lang") == F.col("_tm_lang"), "left")
-    inside = F.exp("log_perplexity").between(F.col("low"), F.col("high"))
+    beside = found.join(bands, F.col("lang") == F.col("_tm_lang"), "left")
+    inside = F.col("log_word_perplexity").between(F.col("word_low"), F.col("word_high"))
+    inside &= F.col("gain").between(F.col("gain_low"), F.col("gain_high"))
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
     return beside.drop("_tm_lang").withColumn("kept", kept)

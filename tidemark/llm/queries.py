@@ -148,6 +148,7 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
         "base_failed",
         "kept",
         "log_perplexity",
+        "log_word_perplexity",
     )
 
 
