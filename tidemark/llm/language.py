@@ -2,7 +2,9 @@
 
 Features are the 1- to 3-grams of the letters of each word, lower-cased and with word ends, hashed
 into a fixed number of buckets. Spark counts them per language over all labelled rows; the matrix of
-log probabilities has (buckets x languages) entries, a bound set by parameters, and is broadcast.
+log probabilities has (buckets x languages) entries and is broadcast for at most PART languages at a
+time; with more of them the rows pass one part after the other and carry the best language so far,
+which gives the same answers in bounded memory.
 Texts are scored in batches: words of a batch are looked up or worked out once, and the sparse
 document-by-word counts are multiplied by the word scores in numpy.
 
@@ -13,9 +15,10 @@ language by name. Repeated rows get the same answer; other columns are never rea
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,9 +30,10 @@ from pyspark.sql import types as T
 from tidemark.llm.batches import CACHE, pieces, small_batches
 from tidemark.sources.scratch import materialize
 
-#: Buckets of hashed n-grams; with MAX_LANGUAGES this bounds the broadcast matrix to 64 MB.
+#: Buckets of hashed n-grams, and languages of a part of the model: 16 MB a broadcast, 4.2 million
+#: counts a read.
 BUCKETS = 1 << 16
-MAX_LANGUAGES = 256
+PART = 64
 #: Added to every count.
 SMOOTHING = 0.5
 #: Words counted before a task turns them into n-grams.
@@ -117,26 +121,36 @@ def ngram_counts(labelled: DataFrame, lang: str, buckets: int) -> DataFrame:
 
 
 def train(
-    labelled: DataFrame, lang: str = "lang", buckets: int = BUCKETS, smoothing: float = SMOOTHING
-) -> Model:
-    """Learn from `text` and the non-null `lang` of all rows given."""
+    labelled: DataFrame,
+    lang: str = "lang",
+    buckets: int = BUCKETS,
+    smoothing: float = SMOOTHING,
+    part: int = PART,
+) -> Iterator[Model]:
+    """Learn from `text` and the non-null `lang` of all rows given: parts in order of the names."""
     counts = ngram_counts(labelled.filter(F.col(lang).isNotNull()), lang, buckets)
     counts = materialize(counts, "ngrams")
-    if counts.filter("bucket < 0").count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    # At most MAX_LANGUAGES x (buckets + 1) rows: counts, never documents.
-    found = counts.toPandas()
-    languages = sorted(found["lang"].unique())
-    table = np.zeros((buckets, len(languages)))
-    prior = np.zeros(len(languages))
-    for i, name in enumerate(languages):
-        own = found[found["lang"] == name]
-        prior[i] = own.loc[own["bucket"] < 0, "n"].sum()
-        seen = own[own["bucket"] >= 0]
-        table[seen["bucket"], i] = seen["n"]
-    table += smoothing
-    log_prob = np.log(table / table.sum(0)).astype(np.float32)
-    return Model(languages, np.log(prior / max(prior.sum(), 1)), log_prob)
+    priors = counts.filter("bucket < 0").select("lang", F.col("n").alias("documents"))
+    total = priors.agg(F.sum("documents")).first()[0] or 0
+    last = None
+    while True:
+        rest = priors if last is None else priors.filter(F.col("lang") > F.lit(last))
+        own = {r["lang"]: r["documents"] for r in rest.orderBy("lang").limit(part).collect()}
+        if not own:
+            return
+        languages = sorted(own, key=lambda name: name.encode())
+        last = languages[-1]
+        # At most part x buckets rows: counts, never documents.
+        here = counts.filter((F.col("bucket") >= 0) & (F.col("lang") <= F.lit(last)))
+        here = here.filter(F.col("lang") >= F.lit(languages[0]))
+        found = here.toPandas()
+        place = {name: i for i, name in enumerate(languages)}
+        table = np.zeros((buckets, len(languages)))
+        table[found["bucket"], found["lang"].map(place).astype(int)] = found["n"]
+        table += smoothing
+        log_prob = np.log(table / table.sum(0)).astype(np.float32)
+        prior = np.array([own[name] for name in languages], float)
+        yield Model(languages, np.log(prior / total), log_prob)
 
 
 class Scorer:
@@ -160,51 +174,84 @@ class Scorer:
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
             self.scores = np.concatenate([self.scores, np.stack(columns, 1)])
 
-    def predict(self, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
-        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        if not self.model.languages:
-            return names, scores
+    def totals(self, texts: list[bytes | None]) -> tuple[list[int], np.ndarray]:
+        """The texts that have letters, and their log probability with each language."""
         words = [words_of(t) for t in texts]
+        filled = [i for i, found in enumerate(words) if found]
+        if not filled or not self.model.languages:
+            return [], np.zeros((0, len(self.model.languages)))
         fresh = {w for found in words for w in found if w not in self.index}
         if len(self.index) + len(fresh) > self.cache:
             fresh = {w for found in words for w in found}
         self._learn(fresh)
-        filled = [i for i, found in enumerate(words) if found]
-        if not filled:
-            return names, scores
         sizes = np.array([len(words[i]) for i in filled])
         at = np.fromiter(
             (self.index[w] for i in filled for w in words[i]), np.int64, int(sizes.sum())
         )
-        total = np.add.reduceat(self.scores[at], np.cumsum(sizes) - sizes) + self.model.log_prior
-        best = total.argmax(1)
-        chance = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-        for i, k, c in zip(filled, best, chance, strict=True):
-            names[i], scores[i] = self.model.languages[k], float(c)
-        return names, scores
+        sums = np.add.reduceat(self.scores[at], np.cumsum(sizes) - sizes)
+        return filled, sums + self.model.log_prior
 
+    def better(self, texts: list[bytes | None], before: Best) -> Best:
+        """The best language of each text among those of this part and of the parts before."""
+        names, tops, sums = (list(x) for x in before)
+        filled, total = self.totals(texts)
+        if not filled:
+            return names, tops, sums
+        best, top = total.argmax(1), total.max(1)
+        own = np.exp(total - top[:, None]).sum(1)
+        for i, k, t, s in zip(filled, best.tolist(), top.tolist(), own.tolist(), strict=True):
+            if names[i] == UNKNOWN and not sums[i]:
+                names[i], tops[i], sums[i] = self.model.languages[k], t, s
+            elif t > tops[i]:
+                sums[i] = s + sums[i] * math.exp(tops[i] - t)
+                names[i], tops[i] = self.model.languages[k], t
+            else:
+                sums[i] += s * math.exp(t - tops[i])
+        return names, tops, sums
 
-def with_language(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of `docs` with _tm_lang and _tm_score. Other columns pass the Arrow batches."""
+    def predict(self, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
+        n = len(texts)
+        names, _, sums = self.better(texts, ([UNKNOWN] * n, [0.0] * n, [0.0] * n))
+        return names, [1 / s if s else 0.0 for s in sums]
+
+
+#: Per text: language, its log probability, and the sum of all probabilities over it.
+Best = tuple[list[str], list[float], list[float]]
+_BEST = ("_tm_lang", "_tm_top", "_tm_sum")
+
+
+def _with_part(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for rows, texts in pieces(batches, "text"):
-            names, scores = scorer.predict(texts)
+            before = tuple(rows.column(c).to_pylist() for c in _BEST)
+            names, tops, sums = scorer.better(texts, before)
+            others = [c for c in rows.schema.names if c not in _BEST]
             yield pa.RecordBatch.from_arrays(
-                [*rows.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*rows.schema.names, "_tm_lang", "_tm_score"],
+                [
+                    *[rows.column(c) for c in others],
+                    pa.array(names, pa.string()),
+                    pa.array(tops, pa.float64()),
+                    pa.array(sums, pa.float64()),
+                ],
+                names=[*others, *_BEST],
             )
 
-    schema = T.StructType(
-        [
-            *docs.schema.fields,
-            T.StructField("_tm_lang", T.StringType()),
-            T.StructField("_tm_score", T.DoubleType()),
-        ]
-    )
-    return small_batches(docs).mapInArrow(score, schema)
+    return small_batches(docs).mapInArrow(score, docs.schema)
+
+
+def with_language(docs: DataFrame, parts: Iterable[Model]) -> DataFrame:
+    """All columns of `docs` with _tm_lang and _tm_score. Other columns pass the Arrow batches."""
+    start = (F.lit(UNKNOWN), F.lit(0.0), F.lit(0.0))
+    found = docs.select(*docs.columns, *[v.alias(c) for v, c in zip(start, _BEST)])
+    for k, model in enumerate(parts):
+        if k:
+            found = materialize(found, "languages")
+        found = _with_part(found, model)
+    score = F.when(F.col("_tm_sum") > 0, 1 / F.col("_tm_sum")).otherwise(0.0)
+    return found.select(*docs.columns, "_tm_lang", score.alias("_tm_score"))
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
