@@ -109,3 +109,7 @@ class KneserNey:
         """Log probability of each word with its end."""
         found, owner = grams(words, self.order)
         return np.bincount(owner, np.log(self._prob(found, self.order)), len(words))
+
+    def gram_scores(self) -> np.ndarray:
+        """Log probability of every gram there can be, in the order of the packed grams."""
+        return np.log(self._prob(np.arange(CLASSES**self.order), self.order))
